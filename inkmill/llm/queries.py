@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.llm import mixing, neardup, splitting, tokens
-from inkmill.plans.session import load
+from inkmill.llm import abuse, mail, mixing, neardup, reply, splitting, tokens
+from inkmill.plans.session import load, written
+
+
+def _bodies(spark: SparkSession, d: str) -> DataFrame:
+    return written(mail.bodies(load(spark, d, "thread")), "bodies")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return reply.classified(_bodies(spark, d)).select("tid", "msg_id", F.explode("kinds").alias("kind"))
+
+
+def p2_new_text(spark: SparkSession, d: str) -> DataFrame:
+    return reply.classified(_bodies(spark, d)).select("tid", "msg_id", "new_text")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -39,7 +51,7 @@ def p7_decoded(spark: SparkSession, d: str) -> DataFrame:
 def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     docs = load(spark, d, "documents")
     sizes = tokens.counts(docs)
-    return mixing.mix(tokens.written(docs.select("doc_id", "source").join(sizes, "doc_id"), "sizes"), load(spark, d, "mix_target"))
+    return mixing.mix(written(docs.select("doc_id", "source").join(sizes, "doc_id"), "sizes"), load(spark, d, "mix_target"))
 
 
 def p8_report(spark: SparkSession, d: str) -> DataFrame:
@@ -50,7 +62,24 @@ def p8_sample(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d)[0]
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_pieces, p5_found, p5_groups, p7_ids, p7_decoded, p8_report, p8_sample)}
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    docs = load(spark, d, "documents")
+    return abuse.score(docs, abuse.fit_from(docs, load(spark, d, "doc_label")))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).where("abusive").select("doc_id")
+
+
+def p9_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d)
+
+
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.rates(_scored(spark, d))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_new_text, p3_found, p3_pieces, p5_found, p5_groups, p7_ids, p7_decoded, p8_report, p8_sample, p9_found, p9_scores, p9_rates)}
 
 SQL: dict[str, str] = {
     "p3_found": """

@@ -1,8 +1,8 @@
 """Encoding of a corpus with a public byte-level BPE, by a table of distinct words.
 
 Spark splits every text into the tokenizer's words; each distinct word is encoded once; the ids come back to the
-texts by a join on the word, in order of position. Words that make up more than HOT_SHARE of all words are few by
-definition (at most 1 / HOT_SHARE), so they are joined by broadcast and never make a hot key of the shuffle join.
+texts by a join on the word, in order of position. Words that make up a large share of all words are few by definition, so they
+are joined by broadcast and never make a hot key of the shuffle join (plans/skew.py).
 
 Defined results: null and empty texts have an empty list; a text that is only white space is encoded like any
 other; a null document id is kept; a document id that stands twice is encoded once per id and text.
@@ -19,9 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.plans.session import written
+from inkmill.plans.skew import join_counted
 
-#: A word with a larger share of all words is joined by broadcast; there can't be more than 1 / HOT_SHARE of them.
-HOT_SHARE = 1 / 2000
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
@@ -74,21 +73,11 @@ def word_table(df: DataFrame, text_col: str = "text", path: str | None = None) -
     return written(counted.mapInArrow(encode, "word string, n bigint, ids array<int>"), "words")
 
 
-def _with_ids(df: DataFrame, table: DataFrame, id_col: str, text_col: str, value: F.Column, name: str) -> DataFrame:
-    """The words of the texts with a value of the word table."""
-    total = table.agg(F.sum("n")).first()[0] or 0
-    hot = table.where(F.col("n") > total * HOT_SHARE).select("word", value.alias(name))
-    cold = table.where(F.col("n") <= total * HOT_SHARE).select("word", value.alias(name))
-    marked = words(df, id_col, text_col).join(F.broadcast(hot), "word", "left")
-    rest = marked.where(F.col(name).isNull()).drop(name).join(cold, "word")
-    return marked.where(F.col(name).isNotNull()).unionByName(rest)
-
-
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """(doc_id, ids): the ids of every text, without special tokens. ``id_col`` must be unique among the rows."""
     df = df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
     table = word_table(df, "text", path)
-    joined = _with_ids(df, table, "doc_id", "text", F.col("ids"), "ids")
+    joined = join_counted(words(df, "doc_id", "text"), table, "word", "n", ["ids"])
     ordered = joined.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
     spelt = ordered.select("doc_id", F.flatten(F.col("parts.ids")).alias("ids"))
     none = df.where("text IS NULL OR text = ''").select("doc_id", F.array().cast("array<int>").alias("ids"))
@@ -99,7 +88,7 @@ def counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     """(doc_id, tokens): the number of ids of every text; 0 for null and empty texts."""
     df = df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
     table = word_table(df, "text", path)
-    sizes = _with_ids(df, table, "doc_id", "text", F.size("ids"), "k").groupBy("doc_id").agg(F.sum("k").alias("tokens"))
+    sizes = join_counted(words(df, "doc_id", "text"), table.withColumn("k", F.size("ids")), "word", "n", ["k"]).groupBy("doc_id").agg(F.sum("k").alias("tokens"))
     none = df.where("text IS NULL OR text = ''").select("doc_id", F.lit(0).cast("bigint").alias("tokens"))
     return sizes.unionByName(none)
 
