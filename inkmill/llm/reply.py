@@ -37,7 +37,7 @@ NEW, QUOTE, SIGNATURE, DISCLAIMER = range(4)
 
 _PREFIX = re.compile(r"^[ \t]*((?:>[ \t]?)+)")
 _BAR = re.compile(r"^\|(?: |$)")
-_PROMPT = re.compile(r"^(?:\$ |[\w.@-]+[#$%] |PS .*> |>>> )")
+_PROMPT = re.compile(r"^(?:\$ |[\w.@-]+[#$%] |PS .*> )")
 _ATTRIBUTION = re.compile(r"^(?:On\b.{6,160}\bwrote:|.{4,120}님이 작성:|Am\b.{4,120}\bschrieb\b.{0,80}:|Le\b.{4,120}a écrit ?:|.{4,120}(?:이|가) (?:쓴 글|작성했습니다):|El\b.{4,120}escribió:)$", re.S)
 _BANNER = re.compile(r"^[ \t]*-{2,} ?(?:original message|forwarded message|원본 메시지|전달된 메시지|ursprüngliche nachricht|begin forwarded message).{0,20}$|^[ \t]*begin forwarded message:", re.I)
 _RULE = re.compile(r"^[_\-—=]{10,}$")
@@ -143,6 +143,7 @@ FEATURES = ("depth", "after", "header", "mark_quote", "mark_sign", "mark_small",
 _AT = {f: i for i, f in enumerate(FEATURES)}
 #: Features that are marks of a mail program; hidden from part of the training blocks.
 MARKS = [_AT[f] for f in ("mark_quote", "mark_sign", "mark_small", "separator", "closing")]
+_GREETING = re.compile(r"^(?:hi|hello|dear|안녕하세요)\b", re.I)
 _SENTENCE = re.compile(r"[.!?…]$")
 
 
@@ -151,16 +152,20 @@ def features(found: list[Block], sender: str, address: str, stats: dict[int, tup
     x = np.zeros((len(found), len(FEATURES)), np.float32)
     signed = False
     for i, b in enumerate(found):
-        n = len(b.lines)
+        n, anc_freq_pattern = len(b.lines), stats.get(i, (0.0, 0.0, 0.0))
         text = b.text
+        place = min(len(found) - 1 - i, 20), min(i, 20), len(text) / n, *anc_freq_pattern, signed
+        if b.depth or b.after or b.header:  # what a quotation says makes no difference, so it isn't searched
+            x[i, :9] = b.depth, b.after, b.header, bool(b.marks & 1), bool(b.marks & 2), bool(b.marks & 4), b.separator, b.closing, min(n, 20)
+            x[i, _AT["from_end"] : _AT["below_sign"] + 1] = place
+            continue
         first = next((line for line in b.lines if not _CLOSING.match(line)), "")
-        named = bool(_NAME.match(first))
-        contact = sum(bool(_CONTACT_LINE.match(line)) for line in b.lines) / n
-        role = any(_ROLE.match(line) for line in b.lines[1:])
-        device = bool(_DEVICE.match(text.strip()))
-        legal = len(_LEGAL.findall(text))
-        anc, freq, pattern = stats.get(i, (0.0, 0.0, 0.0))
-        x[i] = (b.depth, b.after, b.header, bool(b.marks & 1), bool(b.marks & 2), bool(b.marks & 4), b.separator, b.closing, min(n, 20), min(len(text.split()), 200), contact, 1 + bool(_KOREAN_SIGN.match(first)) if named else 0, own_name(first, sender, address), role, device, legal, bool(_STRONG_LEGAL.match(text)), bool(re.match(r"^(?:hi|hello|dear|안녕하세요)\b", text, re.I)), min(len(found) - 1 - i, 20), min(i, 20), len(text) / n, anc, freq, pattern, signed, bool(_CLOSING.match(b.lines[0])), bool(_SENTENCE.search(first)))
+        short = n <= 8 and len(first) < 80
+        named = short and bool(_NAME.match(first))
+        contact = sum(bool(_CONTACT_LINE.match(line)) for line in b.lines) / n if short else 0.0
+        role = short and any(_ROLE.match(line) for line in b.lines[1:])
+        device = len(text) < 80 and bool(_DEVICE.match(text.strip()))
+        x[i] = (0, 0, 0, bool(b.marks & 1), bool(b.marks & 2), bool(b.marks & 4), b.separator, b.closing, min(n, 20), min(text.count(" ") + n, 200), contact, 1 + bool(_KOREAN_SIGN.match(first)) if named else 0, short and own_name(first, sender, address), role, device, len(_LEGAL.findall(text)), bool(_STRONG_LEGAL.match(text)), bool(_GREETING.match(text)), *place, bool(_CLOSING.match(b.lines[0])), bool(_SENTENCE.search(first)))
         signed = signed or (b.depth == 0 and (device or (named and (role or contact > 0))))
     return x
 
