@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.llm import abuse, mail, mixing, neardup, reply, splitting, tokens
+from inkmill.llm import abuse, mail, mixing, neardup, personal, reply, splitting, tokens
 from inkmill.plans.session import load, written
 
 
@@ -40,6 +40,25 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.groups(load(spark, d, "docling"))
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    """The texts searched for personal information: markdown of records and bodies of messages."""
+    pages = load(spark, d, "docling").select(F.lit("docling").alias("origin_table"), F.col("rec_id").cast("string").alias("ref_id"), F.col("markdown").alias("text"))
+    return pages.unionByName(_bodies(spark, d).select(F.lit("thread").alias("origin_table"), F.col("msg_id").alias("ref_id"), F.col("body").alias("text")))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return personal.judged(personal.candidates(_texts(spark, d))).select("origin_table", "ref_id", "kind", "found").distinct()
+
+
+def p6_redacted(spark: SparkSession, d: str) -> DataFrame:
+    texts = _texts(spark, d)
+    return personal.redact(texts, personal.judged(personal.candidates(texts)))
+
+
+def p6_terms(spark: SparkSession, d: str) -> DataFrame:
+    return personal.disclosure(personal.candidates(_texts(spark, d)))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode(load(spark, d, "documents"))
 
@@ -79,7 +98,7 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     return abuse.rates(_scored(spark, d))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_new_text, p3_found, p3_pieces, p5_found, p5_groups, p7_ids, p7_decoded, p8_report, p8_sample, p9_found, p9_scores, p9_rates)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_new_text, p3_found, p3_pieces, p5_found, p5_groups, p6_found, p6_redacted, p6_terms, p7_ids, p7_decoded, p8_report, p8_sample, p9_found, p9_scores, p9_rates)}
 
 SQL: dict[str, str] = {
     "p3_found": """
