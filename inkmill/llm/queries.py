@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.llm import abuse, mail, mixing, neardup, personal, reply, splitting, tokens
+from inkmill.llm import abuse, mail, mixing, neardup, personal, reply, scans, splitting, tokens
 from inkmill.plans.session import load, written
 
 
@@ -15,6 +15,18 @@ def _bodies(spark: SparkSession, d: str) -> DataFrame:
     return written(mail.bodies(load(spark, d, "thread")), "bodies")
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.repaired(load(spark, d, "docling")).select("rec_id", F.explode("noise").alias("noise"))
+
+
+def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every record once: repaired where it has noise, else as it is."""
+    docs = load(spark, d, "docling").select("rec_id", "markdown", "doctags").dropDuplicates(["rec_id"])
+    mended = scans.repaired(docs).select("rec_id", F.struct("markdown", "doctags").alias("new"))
+    both = docs.join(mended, "rec_id", "left")
+    return both.select("rec_id", *(F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in ("markdown", "doctags")), F.col("new").isNotNull().alias("repaired"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return reply.classified(_bodies(spark, d)).select("tid", "msg_id", F.explode("kinds").alias("kind"))
 
@@ -98,7 +110,7 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     return abuse.rates(_scored(spark, d))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_new_text, p3_found, p3_pieces, p5_found, p5_groups, p6_found, p6_redacted, p6_terms, p7_ids, p7_decoded, p8_report, p8_sample, p9_found, p9_scores, p9_rates)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_new_text, p3_found, p3_pieces, p5_found, p5_groups, p6_found, p6_redacted, p6_terms, p7_ids, p7_decoded, p8_report, p8_sample, p9_found, p9_scores, p9_rates)}
 
 SQL: dict[str, str] = {
     "p3_found": """
