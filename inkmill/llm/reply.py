@@ -200,7 +200,7 @@ def _signed(value: int) -> int:
 
 
 def corpus_stats(bodies: DataFrame) -> DataFrame:
-    """(msg_id, stats): for each block its ancestor overlap, sender frequency and pattern frequency.
+    """(msg_id, stats): for each block without quote marks its ancestor overlap, sender frequency and pattern frequency.
 
     One narrow row for each block and scope; one aggregation over all scopes, one join back."""
     arrow = pa.schema([("msg_id", pa.string()), ("block", pa.int32()), ("scope", pa.int8()), ("key", pa.int64()), ("at", pa.int64())])
@@ -214,6 +214,8 @@ def corpus_stats(bodies: DataFrame) -> DataFrame:
                 thread, who = (xxhash.xxh3_64_intdigest(f"{k}\0{v}".encode("utf-8", "replace")) for k, v in (("t", tid), ("s", address)))
                 at = sent if sent is not None else (1 << 62)
                 for i, b in enumerate(blocks(text, marks)):
+                    if b.depth or b.after or b.header or b.marks & 1:
+                        continue  # a marked quotation is known as one
                     own, pattern = _keys(b.text)
                     rows += ((msg_id, i, s, _signed((k * 0x9E3779B97F4A7C15 ^ h) & 0xFFFFFFFFFFFFFFFF), at) for s, k, h in ((0, thread, own), (1, who, own), (2, 1, pattern)))
             columns = list(zip(*rows, strict=True)) or [[] for _ in arrow]
