@@ -84,7 +84,7 @@ def documents(captures: DataFrame) -> DataFrame:
     g = lines.groupBy("tid").agg(F.array_sort(F.collect_list("b")).alias("b"))
     top = F.element_at("b", -1)
     last = F.when(top.sent > 0, F.date_format(F.timestamp_millis(top.sent), "yyyy-MM-dd HH:mm")).otherwise("")
-    front = F.concat(F.lit("---\nthread_id: "), F.col("tid"), F.lit("\nmessage_count: "), F.size("b").cast("string"), F.lit('\nlast_internal_date: "'), last, F.lit('"\nsubject: '), F.to_json(F.struct(top.subject.alias("s"))).substr(6, 100000), F.lit("\n---\n\n"))
+    front = F.concat(F.lit("---\nthread_id: "), F.col("tid"), F.lit("\nmessage_count: "), F.size("b").cast("string"), F.lit('\nlast_internal_date: "'), last, F.lit('"\nsubject: '), F.regexp_replace(F.to_json(F.struct(top.subject.alias("s"))), r"^\{\"s\":|\}$", ""), F.lit("\n---\n\n"))
     return g.select("tid", F.size("b").alias("message_count"), F.concat(front, F.array_join(F.col("b.block"), "\n\n---\n\n")).alias("document"))
 
 

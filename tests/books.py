@@ -1,0 +1,52 @@
+"""Small workbooks and packages made by hand for the tests."""
+
+import io
+import struct
+import zipfile
+
+NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+
+
+def zipped(sheets: dict[str, str], names: list[str], shared: list[str] = ()) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/workbook.xml", f"<workbook {NS}><sheets>{''.join(f'<sheet name="{n}"/>' for n in names)}</sheets></workbook>")
+        if shared:
+            z.writestr("xl/sharedStrings.xml", f"<sst {NS}>{''.join(shared)}</sst>")
+        for part, rows in sheets.items():
+            z.writestr(f"xl/worksheets/{part}.xml", f"<worksheet {NS}><sheetData>{rows}</sheetData></worksheet>")
+    return out.getvalue()
+
+
+def record(kind: int, raw: bytes) -> bytes:
+    return struct.pack("<HH", kind, len(raw)) + raw
+
+
+def compound(stream: bytes, name: str = "Workbook") -> bytes:
+    """A compound file of 512-byte sectors with one stream, padded beyond the size of small streams."""
+    stream = stream + b"\0" * (max(4096, -(-len(stream) // 512) * 512) - len(stream))
+    n = len(stream) // 512
+    links = [0xFFFFFFFD, 0xFFFFFFFE] + [3 + k for k in range(n - 1)] + [0xFFFFFFFE]
+    links += [0xFFFFFFFF] * (128 - len(links))
+    head = b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1" + b"\0" * 16 + struct.pack("<HHHHH", 0x3E, 3, 0xFFFE, 9, 6) + b"\0" * 6
+    head += struct.pack("<IIIIIIIII", 0, 1, 1, 0, 4096, 0xFFFFFFFE, 0, 0xFFFFFFFE, 0) + struct.pack("<109I", 0, *[0xFFFFFFFF] * 108)
+
+    def entry(title: str, kind: int, start: int, size: int) -> bytes:
+        raw = title.encode("utf-16-le") + b"\0\0"
+        return raw.ljust(64, b"\0") + struct.pack("<HBB", len(raw), kind, 1) + struct.pack("<III", *[0xFFFFFFFF] * 3) + b"\0" * 36 + struct.pack("<IQ", start, size)
+
+    directory = entry("Root Entry", 5, 0xFFFFFFFE, 0) + entry(name, 2, 2, len(stream)) + b"\0" * 256
+    return head + struct.pack("<128I", *links) + directory + stream
+
+
+def binary_book(cells: bytes, strings: list[bytes] = (), sst_cut: int | None = None, extra: bytes = b"") -> bytes:
+    """A binary workbook with one sheet named S."""
+    sst = struct.pack("<II", len(strings), len(strings)) + b"".join(strings)
+    shared = record(0x00FC, sst) if sst_cut is None else record(0x00FC, sst[:sst_cut]) + record(0x003C, b"\x00" + sst[sst_cut:])
+    bof = record(0x0809, struct.pack("<HH", 0x0600, 5) + b"\0" * 12)
+
+    def globals_(at: int) -> bytes:
+        return bof + extra + record(0x0085, struct.pack("<IH", at, 0) + b"\x01\x00S") + shared + record(0x000A, b"")
+
+    head = globals_(len(globals_(0)))
+    return compound(head + record(0x0809, struct.pack("<HH", 0x0600, 16) + b"\0" * 12) + cells + record(0x000A, b""))
