@@ -33,14 +33,14 @@ MAX_FIT_CHARS = 20_000
 NGRAMS = (2, 3, 4, 5)
 DIM = 1 << 18
 #: A passage of fewer words of two letters says nothing by itself.
-LEAST_WORDS = 2
+LEAST_WORDS = 3
 ROUNDS = 4
 STEPS = 40
 #: Weight of the quadratic penalty on a classifier of scaled features.
 PENALTY = 2e-4
 
 _CUT = re.compile(r"\n+|(?<=[.!?…])[\"')\]]*\s+")
-_LEAD = re.compile(r"^(?:\s*(?:\[?\d{1,2}:\d{2}(?::\d{2})?\]?|[-*>#|]+|\d+[.)]|[QA]:|\*\*[^*\n]{1,20}:\*\*)\s*)*(?:[\w.\-]{1,24}:\s)?")
+_LEAD = re.compile(r"^(?:\s*(?:\*\*[^*\n]{1,20}:\*\*|\[?\d{1,2}:\d{2}(?::\d{2})?\]?|[-*>#|]+|\d+[.)]|[qa]:)\s*)*(?:[\w.\-]{1,24}:\s)?")
 _GONE = re.compile(r"[​-‏⁠﻿­‪-‮\u0000-\u0008\u000b-\u001f︎️]")
 _APART = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][ ._\-*]){2,}[^\W\d_](?![^\W\d_])")
 _LONG = re.compile(r"([^\W\d])\1{2,}")

@@ -12,7 +12,7 @@ and legal wording. Features that a mark sets are hidden from part of the trainin
 learn what such blocks look like without it.
 
 Defined results: a body without newly written text gives an empty string; shell transcripts whose lines begin with >
-are no quotes; messages count once by id; a null time sorts last within its thread.
+are no quotes; messages count once by id; a message without a time has no earlier ones and is earlier than none.
 """
 
 from __future__ import annotations
@@ -32,6 +32,9 @@ from inkmill.plans.skew import join_counted
 
 #: Most messages whose blocks train the trees: those with the smallest hashed ids.
 TRAIN_MESSAGES = 1500
+TREE_ROUNDS = 45
+#: Share of the marks that are hidden in the second copy of the training blocks.
+HIDDEN = 0.1
 CLASSES = ("new", "quote", "signature", "disclaimer")
 NEW, QUOTE, SIGNATURE, DISCLAIMER = range(4)
 
@@ -165,7 +168,10 @@ def features(found: list[Block], sender: str, address: str, stats: dict[int, tup
         contact = sum(bool(_CONTACT_LINE.match(line)) for line in b.lines) / n if short else 0.0
         role = short and any(_ROLE.match(line) for line in b.lines[1:])
         device = len(text) < 80 and bool(_DEVICE.match(text.strip()))
-        x[i] = (0, 0, 0, bool(b.marks & 1), bool(b.marks & 2), bool(b.marks & 4), b.separator, b.closing, min(n, 20), min(text.count(" ") + n, 200), contact, 1 + bool(_KOREAN_SIGN.match(first)) if named else 0, short and own_name(first, sender, address), role, device, len(_LEGAL.findall(text)), bool(_STRONG_LEGAL.match(text)), bool(_GREETING.match(text)), *place, bool(_CLOSING.match(b.lines[0])), bool(_SENTENCE.search(first)))
+        strong = bool(_STRONG_LEGAL.match(text))
+        if device or strong or (named and (role or contact)):  # what repeats by its nature needn't be a quotation
+            place = (*place[:3], 0.0, *place[4:])
+        x[i] = (0, 0, 0, bool(b.marks & 1), bool(b.marks & 2), bool(b.marks & 4), b.separator, b.closing, min(n, 20), min(text.count(" ") + n, 200), contact, 1 + bool(_KOREAN_SIGN.match(first)) if named else 0, short and own_name(first, sender, address), role, device, len(_LEGAL.findall(text)), strong, bool(_GREETING.match(text)), *place, bool(_CLOSING.match(b.lines[0])), bool(_SENTENCE.search(first)))
         signed = signed or (b.depth == 0 and (device or (named and (role or contact > 0))))
     return x
 
@@ -200,7 +206,7 @@ def _signed(value: int) -> int:
 
 
 def corpus_stats(bodies: DataFrame) -> DataFrame:
-    """(msg_id, stats): for each block without quote marks its ancestor overlap, sender frequency and pattern frequency.
+    """(msg_id, stats): for each block without quote prefixes its ancestor overlap, sender frequency and pattern frequency.
 
     One narrow row for each block and scope; one aggregation over all scopes, one join back."""
     arrow = pa.schema([("msg_id", pa.string()), ("block", pa.int32()), ("scope", pa.int8()), ("key", pa.int64()), ("at", pa.int64())])
@@ -212,19 +218,18 @@ def corpus_stats(bodies: DataFrame) -> DataFrame:
             rows = []
             for tid, msg_id, sent, address, text, marks in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
                 thread, who = (xxhash.xxh3_64_intdigest(f"{k}\0{v}".encode("utf-8", "replace")) for k, v in (("t", tid), ("s", address)))
-                at = sent if sent is not None else (1 << 62)
                 for i, b in enumerate(blocks(text, marks)):
-                    if b.depth or b.after or b.header or b.marks & 1:
-                        continue  # a marked quotation is known as one
+                    if b.depth or b.after or b.header:
+                        continue  # a quotation by its own lines is known as one
                     own, pattern = _keys(b.text)
-                    rows += ((msg_id, i, s, _signed((k * 0x9E3779B97F4A7C15 ^ h) & 0xFFFFFFFFFFFFFFFF), at) for s, k, h in ((0, thread, own), (1, who, own), (2, 1, pattern)))
+                    rows += ((msg_id, i, s, _signed((k * 0x9E3779B97F4A7C15 ^ h) & 0xFFFFFFFFFFFFFFFF), sent) for s, k, h in ((0, thread, own), (1, who, own), (2, 1, pattern)))
             columns = list(zip(*rows, strict=True)) or [[] for _ in arrow]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     keyed = written(bodies.select("tid", "msg_id", "sent", "address", "body", "marks").mapInArrow(run, "msg_id string, block int, scope tinyint, key bigint, at bigint"), "blocks")
     counted = written(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("at").alias("first")), "block-keys")
     back = join_counted(keyed, counted, "key", "n", ["n", "first"])
-    value = F.when(F.col("scope") == 0, (F.col("first") < F.col("at")).cast("double")).otherwise(F.log1p(F.col("n") - 1))
+    value = F.when(F.col("scope") == 0, F.coalesce(F.col("first") < F.col("at"), F.lit(False)).cast("double")).otherwise(F.log1p(F.col("n") - 1))
     return back.groupBy("msg_id").agg(F.collect_list(F.struct("block", "scope", value.cast("float").alias("v"))).alias("stats"))
 
 
@@ -236,7 +241,7 @@ def _stats_of(entries: list[dict] | None) -> dict[int, tuple[float, float, float
 
 
 def train(rows: list, seed: int = 3) -> boosting.Trees | None:
-    """Trees of messages with their stats; a third of the training blocks have their marks hidden, singly."""
+    """Trees of messages with their stats; in a copy of them marks are hidden, singly, in a share of HIDDEN of the blocks."""
     xs = [features(blocks(r["body"], r["marks"]), r["sender"] or "", r["address"] or "", _stats_of(r["stats"])) for r in rows]
     xs = [x for x in xs if len(x)]
     if not xs:
@@ -246,8 +251,11 @@ def train(rows: list, seed: int = 3) -> boosting.Trees | None:
     rng = np.random.default_rng(seed)
     hidden = x.copy()
     for j in MARKS:
-        hidden[rng.random(len(x)) < 0.33, j] = 0
-    return boosting.fit(np.concatenate([x, hidden]), np.concatenate([y, y]), len(CLASSES))
+        hide = rng.random(len(x)) < HIDDEN
+        if j == _AT["mark_quote"]:  # hidden only where the thread still tells what it is
+            hide &= x[:, _AT["ancestor"]] > 0
+        hidden[hide, j] = 0
+    return boosting.fit(np.concatenate([x, hidden]), np.concatenate([y, y]), len(CLASSES), rounds=TREE_ROUNDS)
 
 
 def classified(bodies: DataFrame) -> DataFrame:
