@@ -65,7 +65,7 @@ BEFORE = frozenset("Hi Hello Dear Thanks Thank Contact Call Ask Please From To C
 ROLES = frozenset("digest info support team desk list noreply no-reply admin office service alerts news robot bot mailer daemon postmaster helpdesk sales billing".split())
 _CUE_LEFT = re.compile(r"(?:signed by|contact person:?|ask|\bfrom:|\bto:|\bcc:|schrieb|wrote|\bdr\.?|\bmr\.?|\bmrs\.?|\bms\.?|\bprof\.?|name:|author:|by:|서명자:?|담당|담당자:?|작성자:?|이름:?|\d{1,2}:\d{2},?)\s*\*{0,2}$", re.I)
 _CUE_RIGHT = re.compile(r"^\*{0,2}\s*(?:<[^>\n]{3,60}[@＠][^>\n]*>|\[mailto:|wrote:|님|씨|과장|부장|차장|대리|팀장|사원|드림|올림|:\s*$)", re.I | re.M)
-_ROW = re.compile(r"^[>\s|]*\|?\s*$")
+_EMBEDDED = re.compile(r"data:[\w/+.\-]+;base64,[A-Za-z0-9+/=]+")
 
 
 def _numbers(text: str, at: int, end: int) -> bool:
@@ -121,6 +121,8 @@ def names(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, s
 
 def mentions(text: str) -> list[tuple[str, str, int, int, str, str, bool]]:
     """(kind, found, start, end, given, family, cued) of a text; names are candidates."""
+    if "base64," in text:  # embedded images say nothing, but keep their place
+        text = _EMBEDDED.sub(lambda m: " " * len(m[0]), text)
     out: list[tuple[str, str, int, int, str, str, bool]] = []
     taken: list[tuple[int, int]] = []
     for kind, form in (("email", EMAIL), ("id", ID), ("phone", PHONE), ("address", ADDRESS)):

@@ -46,7 +46,7 @@ _WORDLIKE = re.compile(r"(?=.*[a-z].*[a-z])[a-z0-9@!†$|€]{3,30}$")
 _TRIM = "\"'()[]{}.,;:?*_<>#“”‘’…~`"
 _CUT_SIGNS = "-¬‐­‑"
 _CUT_END = re.compile(rf"([^\W\d_]+)([{_CUT_SIGNS}])$")
-_NUM = re.compile(r"^(?=.*\d)(?=.*[OoIlZSbB])(?:[0-9OoIlZSbB]{2,}(?:[.,][0-9OoIlZSbB]+)*|[0-9OoIlZSbB]{4}-[0-9OoIlZSbB]{2}-[0-9OoIlZSbB]{2})(?=%?$|[가-힣]+$)")
+_NUM = re.compile(r"^(?![A-Z]{2}\d{6})(?=.*\d)(?=.*[OoIlZSbB])(?:[0-9OoIlZSbB]{2,}(?:[.,][0-9OoIlZSbB]+)*|[0-9OoIlZSbB]{4}-[0-9OoIlZSbB]{2}-[0-9OoIlZSbB]{2})(?=%?$|[가-힣]+$)")
 _UNITS = frozenset("flat unit suite room apt apartment gate".split())
 
 # ---- running titles and page numbers -------------------------------------------------------------------------
@@ -354,7 +354,8 @@ class Knowledge:
 
 def viterbi(tokens: list[str], known: Knowledge) -> list[str]:
     """The most likely true words of a line of lower-case words: channel times word-pair likelihood."""
-    options = [[(w, 0.0, max(1, known.own.get(w, 1)))] + known.readings[w] if w in known.readings else [(w, 0.0, 0)] for w in tokens]
+    # that a word is a true one which the corpus hardly knows is taken to be as unlikely as its likeliest misreading
+    options = [[(w, max(c for _, c, _ in known.readings[w]), max(1, known.own.get(w, 1)))] + known.readings[w] if w in known.readings else [(w, 0.0, 0)] for w in tokens]
     if all(len(o) == 1 for o in options):
         return tokens
     best: list[tuple[float, int]] = [(0.0, -1)] * len(options[0])
@@ -402,18 +403,27 @@ def reread(line: str, known: Knowledge) -> tuple[str, bool]:
     return "".join(pieces), changed
 
 
+def _flow(lines: list[str]) -> str:
+    """Lines as one; after a hyphen without a blank."""
+    out = ""
+    for line in (x.strip() for x in lines):
+        if line:
+            out += line if out[-1:] == "-" and out[-2:-1].isalpha() else f" {line}"
+    return out.strip()
+
+
 def mend(parts: list[Part], known: Knowledge) -> tuple[list[str | None], set[str]]:
     """(new texts, kinds): the parts as continuous paragraphs. None for a part that is gone or that went into the one before."""
     gone, kinds = furniture(parts)
     lines: dict[int, list[str]] = {i: p.text.split("\n") for i, p in enumerate(parts)}
     merged: dict[int, int] = {}
     for i, k, j, n, head, sign, tail in list(cuts(parts, gone)):
-        if sign == "-" and f"{head.lower()}-{core(tail.lower())[1]}" in known.compounds:
-            continue
-        kinds.add("hyphen")
+        whole = sign == "-" and f"{head.lower()}-{core(tail.lower())[1]}" in known.compounds
+        if not whole:
+            kinds.add("hyphen")
         first, second = lines[i][k].rstrip(), lines[j][n].lstrip()
         word, _, rest = second.partition(" ")
-        lines[i][k] = first[:-1] + word
+        lines[i][k] = (first if whole else first[:-1]) + word
         lines[j][n] = rest
         if i != j and parts[i].flowing and parts[j].flowing:
             merged[j] = i
@@ -431,7 +441,7 @@ def mend(parts: list[Part], known: Knowledge) -> tuple[list[str | None], set[str
         if i in gone:
             out.append(None)
             continue
-        text = " ".join(x.strip() for x in lines[i] if x.strip()) if p.open and p.flowing else "\n".join(x for x in lines[i] if x.strip() or not p.open)
+        text = _flow(lines[i]) if p.open and p.flowing else "\n".join(x for x in lines[i] if x.strip() or not p.open)
         passed = last >= 0 and p.open and p.flowing and (i in merged or (last < i - 1 and all(k in gone or parts[k].before == "" and not parts[k].open and "page break" in parts[k].text for k in range(last + 1, i)) and parts[last].flowing and bool(out[last]) and not re.search(r"[.!?。:]['\")\]]?$", out[last]) and not text[:1].isupper()))
         if passed and out[last] is not None:
             out[last] = f"{out[last]} {text}".strip()
