@@ -23,26 +23,24 @@ BREAKS = r"(?m)^(?:#+[ \t]+[^\n]*|<<TABLE>>[^\n]*)$"
 CELL = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
 
 
-def features(md: Column) -> Column:
-    """struct(headings, paragraphs, tables, cells) of a markdown text."""
-    text = F.rtrim(even_lines(F.coalesce(md, F.lit(""))))
-    html = F.regexp_extract_all(text, F.lit(HTML_TABLE), F.lit(0))
-    masked = F.regexp_replace(text, HTML_TABLE, "<<TABLE>>")
-    pipes = F.regexp_extract_all(masked, F.lit(PIPE_TABLE), F.lit(0))
-    flow = F.regexp_replace(masked, PIPE_TABLE, "\n\n")
-    headings = F.transform(F.regexp_extract_all(flow, F.lit(HEADING), F.lit(1)), lambda x: F.trim(x))
-    blocks = F.split(F.regexp_replace(flow, BREAKS, "\n\n"), r"\n[ \t]*\n")
-    joined = F.transform(blocks, lambda b: F.trim(F.regexp_replace(F.regexp_replace(b, r"[ \t]*\n[ \t]*", " "), r"^\s+|\s+$", "")))
-    paragraphs = F.filter(joined, lambda b: b != "")
-    html_cells = F.flatten(F.transform(html, lambda t: F.transform(F.regexp_extract_all(t, F.lit(CELL), F.lit(1)), lambda c: F.trim(F.regexp_replace(c, r"<[^>]*>", "")))))
-
-    def rows(t: Column) -> Column:
-        lines = F.split(t, "\n")
-        kept = F.filter(lines, lambda x, i: i != 1)
+def with_features(records: DataFrame) -> DataFrame:
+    """(rec_id, headings, n_paragraphs, n_tables, cells) of records with markdown, one row for each row.
+
+    Done in steps whose columns are used several times, so that each pattern runs once over a text."""
+    t = records.select("rec_id", F.rtrim(even_lines(F.coalesce("markdown", F.lit("")))).alias("text"))
+    t = t.select("rec_id", F.regexp_extract_all("text", F.lit(HTML_TABLE), F.lit(0)).alias("html"), F.regexp_replace("text", HTML_TABLE, "<<TABLE>>").alias("masked"))
+    t = t.select("rec_id", "html", F.regexp_extract_all("masked", F.lit(PIPE_TABLE), F.lit(0)).alias("pipes"), F.regexp_replace("masked", PIPE_TABLE, "\n\n").alias("flow"))
+    blocks = F.split(F.regexp_replace("flow", BREAKS, "\n\n"), r"\n[ \t]*\n")
+    paragraphs = F.filter(blocks, lambda b: b.rlike(r"\S"))
+    headings = F.transform(F.regexp_extract_all("flow", F.lit(HEADING), F.lit(1)), lambda x: F.trim(x))
+    html_cells = F.flatten(F.transform("html", lambda x: F.transform(F.regexp_extract_all(x, F.lit(CELL), F.lit(1)), lambda c: F.trim(F.regexp_replace(c, r"<[^>]*>", "")))))
+
+    def rows(x: Column) -> Column:
+        kept = F.filter(F.split(x, "\n"), lambda r, i: i != 1)
         return F.flatten(F.transform(kept, lambda r: F.transform(F.split(F.regexp_replace(F.rtrim(r), r"^\|+|\|+$", ""), r"\|"), lambda c: F.trim(c))))
 
-    cells = F.concat(html_cells, F.flatten(F.transform(pipes, rows)))
-    return F.struct(headings.alias("headings"), paragraphs.alias("paragraphs"), (F.size(html) + F.size(pipes)).alias("tables"), cells.alias("cells"))
+    cells = F.concat(html_cells, F.flatten(F.transform("pipes", rows)))
+    return t.select("rec_id", headings.alias("headings"), F.size(paragraphs).alias("n_paragraphs"), (F.size("html") + F.size("pipes")).alias("n_tables"), cells.alias("cells"))
 
 
 def numeric(cells: Column) -> Column:
@@ -56,8 +54,8 @@ def _ratio(a: Column, b: Column, empty: float) -> Column:
 
 def profiles(records: DataFrame) -> DataFrame:
     """(rec_id, headings, n_paragraphs, n_tables, numbers) of parse records, each record once."""
-    f = records.select("rec_id", features(F.col("markdown")).alias("f"))
-    slim = f.select("rec_id", F.array_distinct("f.headings").alias("headings"), F.size("f.paragraphs").alias("n_paragraphs"), F.col("f.tables").alias("n_tables"), numeric(F.col("f.cells")).alias("numbers"))
+    f = with_features(records)
+    slim = f.select("rec_id", F.array_distinct("headings").alias("headings"), "n_paragraphs", "n_tables", numeric(F.col("cells")).alias("numbers"))
     return slim.dropDuplicates(["rec_id"])
 
 
@@ -68,9 +66,14 @@ def number_counts(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.na.fill(0, ["n_a", "n_b"])
 
 
+def _of(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The records of ``a`` that ``b`` has too; others needn't be read closely."""
+    return a.select("rec_id", "markdown").join(b.select("rec_id").distinct(), "rec_id", "left_semi")
+
+
 def metrics(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row for each record that both sides have: four ratios, their counts and the verdict. Ratios stay unrounded."""
-    pa_, pb = profiles(a), profiles(b)
+    pa_, pb = profiles(_of(a, b)), profiles(b)
     sides = pa_.select("rec_id", *(F.col(c).alias(f"{c}_a") for c in pa_.columns[1:])).join(pb.select("rec_id", *(F.col(c).alias(f"{c}_b") for c in pb.columns[1:])), "rec_id")
     shared = number_counts(sides.select("rec_id", F.col("numbers_a").alias("numbers")), sides.select("rec_id", F.col("numbers_b").alias("numbers"))).groupBy("rec_id").agg(F.sum(F.least("n_a", "n_b")).alias("shared"))
     j = sides.join(shared, "rec_id", "left")
@@ -87,14 +90,14 @@ def metrics(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def mismatches(a: DataFrame, b: DataFrame, most: int = LISTED) -> DataFrame:
     """(rec_id, side, value, surplus, place): the numbers of one side that the other lacks, the most frequent first; ties by side and value."""
-    n = number_counts(profiles(a), profiles(b).join(profiles(a).select("rec_id"), "rec_id", "left_semi"))
-    sides = n.join(profiles(b).select("rec_id"), "rec_id", "left_semi").select("rec_id", "value", F.expr("CASE WHEN n_a > n_b THEN 'a_only' ELSE 'b_only' END").alias("side"), F.abs(F.col("n_a") - F.col("n_b")).alias("surplus")).where("surplus > 0")
+    n = number_counts(profiles(_of(a, b)), profiles(_of(b, a)))
+    sides = n.select("rec_id", "value", F.expr("CASE WHEN n_a > n_b THEN 'a_only' ELSE 'b_only' END").alias("side"), F.abs(F.col("n_a") - F.col("n_b")).alias("surplus")).where("surplus > 0")
     place = F.row_number().over(Window.partitionBy("rec_id").orderBy(F.desc("surplus"), "side", "value"))
     return sides.withColumn("place", place).where(F.col("place") <= most)
 
 
 def heading_differences(a: DataFrame, b: DataFrame, most: int = LISTED) -> DataFrame:
     """(rec_id, side, heading, place): the first headings, in code point order, that one side alone has."""
-    j = profiles(a).select("rec_id", F.col("headings").alias("x")).join(profiles(b).select("rec_id", F.col("headings").alias("y")), "rec_id")
+    j = profiles(_of(a, b)).select("rec_id", F.col("headings").alias("x")).join(profiles(b).select("rec_id", F.col("headings").alias("y")), "rec_id")
     firsts = [j.select("rec_id", F.lit(side).alias("side"), F.posexplode(F.slice(F.array_sort(F.array_except(p, q)), 1, most)).alias("place", "heading")) for side, p, q in (("a", "x", "y"), ("b", "y", "x"))]
     return firsts[0].unionByName(firsts[1]).withColumn("place", F.col("place") + 1)
