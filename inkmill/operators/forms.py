@@ -101,3 +101,25 @@ def deepest(points: DataFrame, intervals: DataFrame, key: str, width: int) -> Da
     p = points.withColumn("b", F.floor(F.col("at") / width))
     hit = p.join(spread, [key, "b"]).where("s <= at AND at < e").groupBy(*points.columns).agg(F.max("depth").alias("depth"))
     return points.join(hit, points.columns, "left").na.fill(0, ["depth"])
+
+
+def template_lines(keys: DataFrame, id_col: str, hints: DataFrame) -> DataFrame:
+    """(id, template): a fill-in template of the keys of a form: outer keys first, then nested ones, each with the best comment there is.
+
+    keys: id, place, key, depth, label. hints: id, key, hint. A comment is the hint, else the label, else the depth."""
+    j = keys.join(hints, [id_col, "key"], "left")
+    comment = F.coalesce("hint", "label", F.concat(F.lit("depth "), F.col("depth").cast("string")))
+    line = F.concat(F.lit('"'), F.col("key"), F.lit('": ""  # '), comment)
+    return j.groupBy(id_col).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((F.col("depth") > 0).alias("nested"), "place", line.alias("line")))), lambda x: x["line"]), "\n").alias("template"))
+
+
+def filled(text: Column, entries: list[tuple[str, str]], split: bool = True, strip: bool = True) -> Column:
+    """A form filled, then with its lines split into paragraphs, then without its layout cache."""
+    text = fill(text, entries)
+    text = split_lines(text) if split else text
+    return F.regexp_replace(text, LAYOUT, "") if strip else text
+
+
+def missing_keys(text: Column, entries: list[tuple[str, str]]) -> Column:
+    """The keys of the entries that a text doesn't hold."""
+    return F.filter(F.array(*(F.lit(k) for k, _ in entries)), lambda k: ~F.contains(text, k))

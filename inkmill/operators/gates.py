@@ -91,3 +91,68 @@ def latest_markers(errors: DataFrame) -> DataFrame:
     """(source, stage, host, reason, seen_at): the last marker of each source and stage; markers with nothing but a source are left out."""
     real = errors.where("stage IS NOT NULL")
     return real.groupBy("source", "stage").agg(F.max(F.struct("seen_at", F.coalesce("host", F.lit("")).alias("host"), F.coalesce("reason", F.lit("")).alias("reason"))).alias("m")).select("source", "stage", "m.host", "m.reason", "m.seen_at")
+
+
+#: What shows that a file of a lane is done. Fixed values.
+ARTEFACTS = {"hwp": ("refined.md",), "hwpx": ("refined.md",), "xls": ("refined.md",), "xlsx": ("refined.md",), "pdf": ("diff.json",), "png": ("ocr.json",), "jpg": ("ocr.json",), "jpeg": ("ocr.json",), "m4a": ("refined.md",), "mp3": ("refined.md",), "wav": ("refined.md",)}
+OTHER_ARTEFACTS = ("docling.json", "refined.md")
+#: Suffixes of recordings that are not taken up as notes. Fixed values.
+RECORDINGS = r"(?i)\.(m4a|mp3|wav|ogg|opus|aac|amr)$"
+
+
+def is_done(path: Column, artefacts: Column) -> Column:
+    """Whether one of the artefacts that a file's format asks for is there; artefacts is an array of names."""
+    table = F.create_map(*(x for k, v in ARTEFACTS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
+    asked = F.coalesce(F.element_at(table, extension(path)), F.array(*map(F.lit, OTHER_ARTEFACTS)))
+    return F.coalesce(F.arrays_overlap(asked, artefacts), F.lit(False))
+
+
+def due(gated: DataFrame, retry: bool = False) -> DataFrame:
+    """Rows whose state asks for an attempt; failed ones too if they are to be tried again."""
+    return gated.where(F.col("state").isin("attempt", "failed") if retry else F.col("state") == "attempt")
+
+
+def phases(items: DataFrame) -> DataFrame:
+    """``items`` with the phase they are due in: refine, take_up, renew or none. Columns: action, taken_up, ready, path."""
+    phase = F.when(F.col("action").isin("promote", "refine"), "refine").when(~F.coalesce("taken_up", F.lit(False)) & ~F.coalesce(F.col("path").rlike(RECORDINGS), F.lit(False)), "take_up").when(F.coalesce("ready", F.lit(False)), "renew").otherwise("none")
+    return items.withColumn("phase", phase)
+
+
+def mirrored(path: Column, source: str = "/sources/", target: str = "/knowledge/") -> Column:
+    """The path of a file's counterpart in the other tree."""
+    return F.regexp_replace(path, source, target)
+
+
+def with_counterpart(files: DataFrame, others: DataFrame) -> DataFrame:
+    """Files whose counterpart in the other tree exists. Both have a column path."""
+    there = others.select(F.col("path").alias("_other")).distinct()
+    return files.join(there, mirrored(F.col("path")) == F.col("_other"), "left_semi")
+
+
+def missing(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """What is expected and was not found, each once."""
+    return expected.select(key).distinct().join(found.select(key).distinct(), key, "left_anti")
+
+
+def unsent_today(reports: DataFrame, sent: DataFrame, day: str, force: bool = False) -> DataFrame:
+    """Reports that were not sent on ``day`` yet, or all if forced. sent: report, day."""
+    return reports if force else reports.join(sent.where(F.col("day") == day).select("report").distinct(), "report", "left_anti")
+
+
+def low_confidence(items: DataFrame) -> Column:
+    """struct(low, missing): items of low confidence, and apart from them those whose source is gone; null where nothing was measured."""
+    gone = F.coalesce(F.col("source_missing"), F.lit(False))
+    return F.struct(F.when(F.count("*") > 0, F.count_if((F.col("parse_confidence") == "low") & ~gone)).alias("low"), F.when(F.count("*") > 0, F.count_if(gone)).alias("missing"))
+
+
+def merged_actions(kept: Column, new: Column) -> Column:
+    """A map of actions with new entries put over the kept ones."""
+    none = F.expr("CAST(map() AS map<string,string>)")
+    old = F.map_filter(F.coalesce(kept, none), lambda k, v: ~F.map_contains_key(F.coalesce(new, none), k))
+    return F.map_concat(old, F.coalesce(new, none))
+
+
+def append_ledger(done: DataFrame, path: str) -> None:
+    """Adds the keys of finished items to a ledger of text lines; nothing is written for an empty frame."""
+    if not done.isEmpty():
+        done.select(F.col("ledger_key").alias("value")).where("trim(value) != ''").write.mode("append").text(path)

@@ -77,3 +77,32 @@ def line(no: Column, label: Column, status: Column, detail: Column) -> Column:
     """One line of a report; the detail is shown only where something isn't ok."""
     shown = F.when((status != "ok") & (F.coalesce(detail, F.lit("")) != ""), F.concat(F.lit(" - "), detail)).otherwise("")
     return F.concat(no, F.lit(" "), label, F.lit(" ["), status, F.lit("]"), shown)
+
+
+def summary_json(items: DataFrame, host: str, now: str) -> DataFrame:
+    """(summary): one JSON text of all items (section, label, status, detail) by section; for the items of one report."""
+    sections = items.groupBy("section").agg(F.array_sort(F.collect_list(F.struct("label", "status", F.coalesce("detail", F.lit("")).alias("detail")))).alias("items"), *(F.count_if(F.col("status") == s).alias(s) for s in STATUSES))
+    one = sections.agg(F.array_sort(F.collect_list(F.struct(F.col("section").alias("key"), "items"))).alias("sections"), *(F.sum(s).alias(s) for s in STATUSES))
+    n = {s: F.coalesce(s, F.lit(0)) for s in STATUSES}
+    return one.select(F.to_json(F.struct(F.lit(host).alias("host"), F.lit(now).alias("checkedAt"), ((n["warn"] == 0) & (n["fail"] == 0)).alias("ok"), n["ok"].alias("passed"), n["warn"].alias("warned"), n["fail"].alias("failed"), "sections")).alias("summary"))
+
+
+def headline(total: Column, ok: Column, failed: Column, warned: Column) -> Column:
+    """The first line of a report."""
+    parts = F.array_join(F.array_compact(F.array(F.when(failed > 0, F.concat(failed.cast("string"), F.lit(" failed"))), F.when(warned > 0, F.concat(warned.cast("string"), F.lit(" warned"))))), ", ")
+    share = F.concat(ok.cast("string"), F.lit("/"), total.cast("string"))
+    return F.when((failed == 0) & (warned == 0), F.concat(F.lit("all well ("), share, F.lit(")"))).otherwise(F.concat(parts, F.lit(" ("), share, F.lit(" well)")))
+
+
+def activity(events: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """One row with a counter for each kind of activity; kinds: name and the SQL condition that counts."""
+    return events.agg(*(F.count_if(F.expr(c)).alias(n) for n, c in kinds.items()))
+
+
+def counted_or_unknown(n: Column, what: str) -> Column:
+    """A line with a count; a count that could not be taken is said to be unknown, not 0."""
+    return F.when(n.isNull(), F.lit(f"{what}: unknown")).otherwise(F.concat(F.lit(f"{what}: "), n.cast("string")))
+
+
+def backlog_status(n: Column, most: int = 20) -> Column:
+    return F.when(n > most, "warn").otherwise("ok")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.functions import text as fn
-from inkmill.operators import compare, forms, gates, nested, report, search, tables, threads
+from inkmill.operators import compare, forms, gates, nested, notes, report, search, tables, threads
 from inkmill.plans.session import load
 
 NOW = "2026-11-01 00:00:00"
@@ -465,3 +465,106 @@ def q_topk_terms(spark: SparkSession, d: str) -> DataFrame:
 SELECT query, hit, score, place FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, hit)::INT AS place FROM s) WHERE place <= 5""")
 def q_topk_cosine(spark: SparkSession, d: str) -> DataFrame:
     return search.by_cosine(load(spark, d, "embeddings"), "vec_id", "embedding")
+
+
+# ---- notes, phases, counterparts -------------------------------------------------------------------------------
+
+
+@query(r"""WITH p AS (SELECT DISTINCT pdf_path AS path, 'diff.json' AS a FROM mineru UNION SELECT DISTINCT pdf_path, 'docling.json' FROM docling), a AS (SELECT path, list(a) AS a FROM p GROUP BY path),
+f AS (SELECT DISTINCT path, lower(regexp_extract(path, '\.([^./]+)$', 1)) AS e FROM source_file)
+SELECT path, coalesce(CASE WHEN e = 'pdf' THEN list_contains(a, 'diff.json') WHEN e IN ('hwp', 'hwpx', 'xls', 'xlsx', 'm4a', 'mp3', 'wav') THEN list_contains(a, 'refined.md') WHEN e IN ('png', 'jpg', 'jpeg') THEN list_contains(a, 'ocr.json') ELSE list_contains(a, 'docling.json') OR list_contains(a, 'refined.md') END, false) AS done FROM f LEFT JOIN a USING (path)""")
+def q_done_by_format(spark: SparkSession, d: str) -> DataFrame:
+    made = load(spark, d, "mineru").select(F.col("pdf_path").alias("path"), F.lit("diff.json").alias("a")).union(load(spark, d, "docling").select("pdf_path", F.lit("docling.json")))
+    artefacts = made.groupBy("path").agg(F.collect_set("a").alias("a"))
+    return load(spark, d, "source_file").select("path").distinct().join(artefacts, "path", "left").select("path", gates.is_done(F.col("path"), F.col("a")).alias("done"))
+
+
+@query(r"""SELECT phase, count(*) AS n FROM (SELECT CASE WHEN engine_action IN ('promote', 'refine') THEN 'refine' WHEN NOT taken_up AND NOT regexp_matches(path, '(?i)\.(m4a|mp3|wav|ogg|opus|aac|amr)$') THEN 'take_up' WHEN ready THEN 'renew' ELSE 'none' END AS phase
+FROM (SELECT path, CASE length % 4 WHEN 0 THEN 'promote' WHEN 1 THEN 'refine' ELSE 'keep' END AS engine_action, length % 3 = 0 AS taken_up, length % 5 = 0 AS ready FROM source_file)) GROUP BY phase""")
+def q_phases(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("length")
+    items = load(spark, d, "source_file").select("path", F.when(n % 4 == 0, "promote").when(n % 4 == 1, "refine").otherwise("keep").alias("action"), (n % 3 == 0).alias("taken_up"), (n % 5 == 0).alias("ready"))
+    return gates.phases(items).groupBy("phase").agg(F.count("*").alias("n"))
+
+
+@query("""WITH k AS (SELECT DISTINCT replace(pdf_path, 'sources/', 'knowledge/') AS p FROM mineru) SELECT DISTINCT path FROM source_file WHERE replace(path, 'sources/', 'knowledge/') IN (SELECT p FROM k)""")
+def q_counterparts(spark: SparkSession, d: str) -> DataFrame:
+    others = load(spark, d, "mineru").select(F.regexp_replace("pdf_path", "sources/", "knowledge/").alias("path"))
+    files = load(spark, d, "source_file").select("path").distinct()
+    return files.join(others.select(F.col("path").alias("o")).distinct(), gates.mirrored(F.col("path"), "sources/", "knowledge/") == F.col("o"), "left_semi")
+
+
+@query("SELECT DISTINCT pdf_path AS path FROM docling WHERE pdf_path NOT IN (SELECT pdf_path FROM mineru WHERE pdf_path IS NOT NULL)")
+def q_missing_second_parse(spark: SparkSession, d: str) -> DataFrame:
+    return gates.missing(load(spark, d, "docling").select(F.col("pdf_path").alias("path")), load(spark, d, "mineru").select(F.col("pdf_path").alias("path")), "path")
+
+
+@query(r"""SELECT event_id, string_split('2024-02-28', '-')[1] AS year, (props::JSON->>'$.k')::INT AS first FROM events WHERE event_id % 4 <> 3""")
+def q_answer_lists(spark: SparkSession, d: str) -> DataFrame:
+    e = load(spark, d, "events")
+    keys = F.element_at(F.array(F.lit("files"), F.lit("items"), F.lit("data")), (F.col("event_id") % 4 + 1).cast("int"))
+    said = F.when(F.col("event_id") % 4 == 3, F.lit('{"x": 1}')).otherwise(F.concat(F.lit('{"'), keys, F.lit('": ['), F.col("props"), F.lit("]}")))
+    found = notes.first_list(said)
+    return e.select("event_id", found.alias("l")).where("l IS NOT NULL").select("event_id", F.date_format(F.to_date(F.lit("2024-02-28")), "yyyy").alias("year"), F.try_variant_get(F.col("l")[0], "$.k", "int").alias("first"))
+
+
+@query(r"""SELECT doc_id, trim(regexp_extract(l, '^\s*([^:]+):\s', 1)) AS key, count(*) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents WHERE source = 'vault_note') WHERE regexp_matches(l, '^\s*[^:]+:\s') GROUP BY ALL""")
+def q_marker_entries(spark: SparkSession, d: str) -> DataFrame:
+    docs = load(spark, d, "documents").where("source = 'vault_note'")
+    kept = docs.select("doc_id", F.map_keys(notes.entries(F.col("text"))).alias("keys"), F.filter(F.split("text", "\n"), lambda x: x.rlike(r"^\s*[^:]+:\s")).alias("lines"))
+    return kept.select("doc_id", F.explode("keys").alias("key"), "lines").select("doc_id", "key", F.size(F.filter("lines", lambda x: F.trim(F.substring_index(x, ":", 1)) == F.col("key"))).cast("bigint").alias("n"))
+
+
+@query(r"""SELECT doc_id, array_to_string(list_transform(list_filter(list_zip(range(0, 10000), string_split(text, chr(10))), lambda p: trim(coalesce(p[2], ''), ' ') <> ''), lambda p: '[' || lpad(((p[1] * 7) % 3600 // 60)::VARCHAR, 2, '0') || ':' || lpad(((p[1] * 7) % 60)::VARCHAR, 2, '0') || '] ' || trim(p[2], ' ')), chr(10)) AS md
+FROM (SELECT doc_id, text FROM documents WHERE source = 'qa_job' AND length(text) > 0 AND regexp_matches(text, '[^ \n]'))""")
+def q_transcripts(spark: SparkSession, d: str) -> DataFrame:
+    docs = load(spark, d, "documents").where("source = 'qa_job' AND char_length(text) > 0").where(F.col("text").rlike(r"[^ \n]"))
+    segments = F.transform(F.split("text", "\n"), lambda x, i: F.struct((i * 7).alias("start"), x.alias("text")))
+    return docs.select("doc_id", notes.transcript(segments).alias("md"))
+
+
+@query(f"""SELECT CASE WHEN f = 0 AND w = 0 THEN 'all well (' || o || '/' || n || ')' ELSE array_to_string(list_filter([CASE WHEN f > 0 THEN f || ' failed' END, CASE WHEN w > 0 THEN w || ' warned' END], lambda x: x IS NOT NULL), ', ') || ' (' || o || '/' || n || ' well)' END AS headline
+FROM (SELECT count(*) AS n, count(*) FILTER (status = 'ok') AS o, count(*) FILTER (status = 'fail') AS f, count(*) FILTER (status = 'warn') AS w FROM ({_ITEMS}))""")
+def q_headline(spark: SparkSession, d: str) -> DataFrame:
+    n = _items(spark, d).agg(F.count("*").alias("n"), *(F.count_if(F.col("status") == s).alias(s) for s in report.STATUSES))
+    return n.select(report.headline(F.col("n"), F.col("ok"), F.col("fail"), F.col("warn")).alias("headline"))
+
+
+@query()
+def q_summary_json(spark: SparkSession, d: str) -> DataFrame:
+    return report.summary_json(_items(spark, d).withColumn("detail", F.col("n").cast("string")), "here", NOW)
+
+
+@query("""SELECT count(*) FILTER (event_type = 'signup') AS refined, count(*) FILTER (event_type = 'purchase') AS taken_up, count(*) FILTER (event_type = 'error') AS failed, CASE WHEN count(*) > 20 THEN 'warn' ELSE 'ok' END AS backlog FROM events""")
+def q_activity(spark: SparkSession, d: str) -> DataFrame:
+    e = load(spark, d, "events")
+    counted = report.activity(e, {"refined": "event_type = 'signup'", "taken_up": "event_type = 'purchase'", "failed": "event_type = 'error'", "n": "true"})
+    return counted.select("refined", "taken_up", "failed", report.backlog_status(F.col("n")).alias("backlog"))
+
+
+@query()
+def q_yaml_values(spark: SparkSession, d: str) -> DataFrame:
+    return notes.yaml_values(load(spark, d, "documents").where("text IS NOT NULL"), "doc_id", "text")
+
+
+@query("""WITH k AS (SELECT tid, unnest(map_entries(actions)) AS e FROM capture_state), m AS (SELECT tid, e.key AS action, min(e.value) AS id FROM k GROUP BY ALL) SELECT tid, action, CASE WHEN action = 'task' THEN 'new' ELSE id END AS id FROM m""")
+def q_merged_actions(spark: SparkSession, d: str) -> DataFrame:
+    kept = load(spark, d, "capture_state").select("tid", F.explode("actions").alias("action", "id")).groupBy("tid", "action").agg(F.min("id").alias("id"))
+    maps = kept.groupBy("tid").agg(F.map_from_entries(F.collect_list(F.struct("action", "id"))).alias("m"))
+    new = F.when(F.map_contains_key("m", "task"), F.create_map(F.lit("task"), F.lit("new")))
+    return maps.select("tid", F.explode(gates.merged_actions(F.col("m"), new)).alias("action", "id"))
+
+
+@query()
+def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Each source's first failure, through a stream that runs over all that is there."""
+    import uuid
+
+    from inkmill.plans.session import shared_folder
+    from inkmill.streaming import flows
+
+    at = f"{shared_folder(spark)}/inkmill/stream-{uuid.uuid4().hex}"
+    table = load(spark, d, "parse_error")
+    stream = spark.readStream.schema(table.schema).parquet(f"{d}/parse_error.parque[t]")  # a pattern fits a file as well as a folder
+    flows.drained(flows.once(stream.where("source IS NOT NULL").select("source"), ["source"]), f"{at}/state", lambda b, n: b.write.mode("append").parquet(f"{at}/out"))
+    return spark.read.parquet(f"{at}/out")

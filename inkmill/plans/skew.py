@@ -21,3 +21,11 @@ def join_counted(left: DataFrame, table: DataFrame, key: str, n: str, values: li
     rest = marked.where("_found IS NULL").drop("_found").join(cold, key)
     both = marked.where("_found IS NOT NULL").unionByName(rest)
     return both.select(*left.columns, *(F.col(f"_found.{v}").alias(v) for v in values))
+
+
+def join_salted(left: DataFrame, right: DataFrame, key: str, by: str, salts: int = 16) -> DataFrame:
+    """An inner join of a large left side with hot keys and a small right side: the rows of a key are spread over
+    ``salts`` partitions by another column of theirs, and the right side is repeated for each."""
+    a = left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return a.join(b, [key, "_salt"]).drop("_salt")

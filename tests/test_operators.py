@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from inkmill.functions import text as fn
 from inkmill.operators import compare, forms, gates, nested, report, search, tables, threads
 from inkmill.plans.ranked import with_rank, with_sum_before
-from inkmill.plans.skew import join_counted
+from inkmill.plans.skew import join_counted, join_salted
 
 
 def one(df):
@@ -108,6 +108,8 @@ def test_ranks_sums_and_joins_over_whole_tables(spark):
     table = left.groupBy("k").agg(F.count("*").alias("n")).withColumn("v", F.concat(F.lit("v"), "k"))
     got = join_counted(left, table, "k", "n", ["v"])
     assert got.count() == 9000 and got.where("v != concat('v', k)").count() == 0
+    salted = join_salted(left.withColumn("id", F.monotonically_increasing_id()), table.where("k != '5000'").drop("n"), "k", "id", 3)
+    assert salted.count() == 8999 and salted.columns == ["k", "id", "v"]
 
 
 # ---- threads
