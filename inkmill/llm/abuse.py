@@ -180,9 +180,11 @@ def fit(texts: list[str], abusive: list[int]) -> Model | None:
 
 
 def fit_from(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """The model of the reviewed documents: at most MAX_LABELLED of them reach the driver."""
+    """The model of the reviewed documents: at most MAX_LABELLED of them are read and reach the driver."""
     mean = labels.where("abusive IS NOT NULL").groupBy("doc_id").agg(F.avg("abusive").alias("mean")).where("mean != 0.5")
-    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(mean, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED).select(F.substring("text", 1, MAX_FIT_CHARS).alias("text"), (F.col("mean") > 0.5).cast("int").alias("a")).collect()
+    chosen = mean.select("doc_id", (F.col("mean") > 0.5).cast("int").alias("a")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
+    rows = docs.where("text IS NOT NULL").select("doc_id", F.substring("text", 1, MAX_FIT_CHARS).alias("text")).join(F.broadcast(chosen), "doc_id").collect()
+    rows.sort(key=lambda r: r["doc_id"])
     return fit([r["text"] for r in rows], [r["a"] for r in rows])
 
 

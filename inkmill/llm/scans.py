@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.plans.session import written
+from inkmill.plans.skew import join_salted
 
 #: What is read for what: (read, true). Fixed values; their probabilities are estimated.
 CONFUSIONS = (("0", "o"), ("1", "l"), ("1", "i"), ("5", "s"), ("6", "b"), ("8", "b"), ("9", "g"), ("@", "a"), ("!", "i"), ("†", "t"), ("$", "s"), ("3", "e"), ("c", "e"), ("cl", "d"), ("rn", "m"), ("li", "h"), ("ii", "u"), ("vv", "w"), ("nn", "m"), ("l", "i"), ("i", "l"), ("|", "l"), ("€", "e"))
@@ -486,7 +487,7 @@ def repaired(docs: DataFrame, id_col: str = "rec_id", text_col: str = "markdown"
     words = written(seen.where(F.col("kind") == WORD).groupBy("word").agg(F.sum("n").alias("n")), "scan-words")
     fixes = corrections(words)
     stands = seen.where(F.col("kind") == STANDS).select("rec_id", "key").distinct()
-    options = stands.join(fixes, "key").groupBy("rec_id").agg(F.collect_list(F.struct("word", "true", "m", "n", "cost")).alias("options"))
+    options = join_salted(stands, fixes, "key", "rec_id").groupBy("rec_id").agg(F.collect_list(F.struct("word", "true", "m", "n", "cost")).alias("options"))
     compound = seen.where(F.col("kind") == COMPOUND).select("rec_id", F.col("word").alias("whole"), F.col("other").alias("hyphened")).distinct()
     hyphened = compound.join(words.select(F.col("word").alias("hyphened"), F.col("n").alias("h")), "hyphened").join(words.select(F.col("word").alias("whole"), F.col("n").alias("w")), "whole", "left")
     compounds = hyphened.where("h >= coalesce(w, 0)").groupBy("rec_id").agg(F.collect_set("hyphened").alias("compounds"))
@@ -512,8 +513,8 @@ def repaired(docs: DataFrame, id_col: str = "rec_id", text_col: str = "markdown"
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64())], names=["rec_id", "key"])
 
     pairs = seen.where(F.col("kind") == PAIR).groupBy("key").agg(F.sum("n").alias("n"))
-    asked = noisy.where("options IS NOT NULL").select("rec_id", "markdown", "doctags", "options").mapInArrow(around, "rec_id bigint, key bigint").distinct()
-    told = asked.join(pairs, "key").groupBy("rec_id").agg(F.collect_list(F.struct("key", "n")).alias("pairs"))
+    asked = written(noisy.where("options IS NOT NULL").select("rec_id", "markdown", "doctags", "options").mapInArrow(around, "rec_id bigint, key bigint").distinct(), "scan-asked")
+    told = join_salted(asked, pairs.join(asked.select("key").distinct(), "key", "left_semi"), "key", "rec_id").groupBy("rec_id").agg(F.collect_list(F.struct("key", "n")).alias("pairs"))
     arrow = pa.schema([("rec_id", pa.int64()), ("markdown", pa.string()), ("doctags", pa.string()), ("noise", pa.list_(pa.string()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
