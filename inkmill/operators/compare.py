@@ -15,10 +15,10 @@ from inkmill.functions.text import even_lines
 HEADINGS, PARAGRAPHS, TABLES, NUMBERS = 0.8, 0.2, 0.8, 0.95
 LISTED = 10
 
+#: The forms of tables, headings, breaks and cells in markdown. Fixed values.
 HTML_TABLE = r"(?s)<table.*?</table>"
 PIPE_TABLE = r"(?m)^\|[^\n]*\n\|[ \t\-:|]+\|[ \t]*(?:\n\|[^\n]*)*"
 HEADING = r"(?m)^#+[ \t]+([^\n]*)"
-#: Lines and blocks that end a paragraph.
 BREAKS = r"(?m)^(?:#+[ \t]+[^\n]*|<<TABLE>>[^\n]*)$"
 CELL = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
 

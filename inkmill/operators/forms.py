@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkmill.functions.text import xml_escape
 
+#: The forms of paragraphs, tables, layout caches, runs, unfilled lines and placeholders in the parts. Fixed values.
 PARAGRAPH = r"(?s)<hp:p\b[^>]*>.*?</hp:p>"
 TABLE = r"(?s)<hp:tbl\b.*?</hp:tbl>"
 LAYOUT = r"(?s)<hp:linesegarray\b[^>]*/>|<hp:linesegarray\b.*?</hp:linesegarray>"

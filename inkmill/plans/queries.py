@@ -12,6 +12,7 @@ from inkmill.operators import compare, forms, gates, nested, notes, report, sear
 from inkmill.plans.session import load
 
 NOW = "2026-11-01 00:00:00"
+#: Words in names of large collections. Fixed values.
 BULK_NAME = "proceedings|abstract|catalog|book|자료집|초록집"
 #: Which actions a label asks for. Fixed values.
 LABELS = {"inbox/file": (), "inbox/read": (), "list/digest": (), "inbox/schedule": ("schedule",), "inbox/task": ("task",), "inbox/task-reply": ("task", "reply"), "inbox/reply": ("reply",)}
