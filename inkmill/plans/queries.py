@@ -40,7 +40,18 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 # ---- nested structures -----------------------------------------------------------------------------------------
 
 
-@query()
+_LINK = "CASE json_type({0}) WHEN 'VARCHAR' THEN {0}->>'$' WHEN 'OBJECT' THEN coalesce({0}->>'$.\"$ref\"', {0}->>'$.cref') END"
+
+
+@query(f"""WITH raw AS (SELECT DISTINCT rec_id, json_structure AS s FROM docling WHERE json_valid(json_structure)),
+one AS (SELECT rec_id, CASE WHEN json_type(s) = 'VARCHAR' THEN s::JSON->>'$' ELSE s END AS s FROM raw),
+doc AS (SELECT rec_id, CASE WHEN json_type(s::JSON->'$.texts') IS NULL AND json_type(s::JSON->'$.document') = 'OBJECT' THEN s::JSON->'$.document' ELSE s::JSON END AS j FROM one WHERE json_valid(s)),
+arrays AS (SELECT rec_id, a, unnest(CAST(json_extract(j, '$.' || a) AS JSON[])) AS e, generate_subscripts(CAST(json_extract(j, '$.' || a) AS JSON[]), 1) - 1 AS i FROM doc, (VALUES ('texts'), ('groups'), ('tables'), ('pictures')) v(a) WHERE json_type(json_extract(j, '$.' || a)) = 'ARRAY'),
+items AS (SELECT rec_id, a, i, '#/' || a || '/' || i AS item_ref, {_LINK.format("(e->'$.parent')")} AS up, e FROM arrays),
+named AS (SELECT rec_id, 0 AS rank, 0 AS i, '#/body' AS who, unnest(CAST(j->'$.body.children' AS JSON[])) AS c FROM doc UNION ALL
+SELECT rec_id, list_position(['texts', 'groups', 'tables', 'pictures'], a), i, item_ref, unnest(CAST(e->'$.children' AS JSON[])) FROM items WHERE json_type(e->'$.children') = 'ARRAY'),
+children AS (SELECT rec_id, target, arg_min(who, (rank, i)) AS who FROM (SELECT *, {_LINK.format("c")} AS target FROM named) GROUP BY ALL)
+SELECT i.rec_id, item_ref, coalesce(up, who, '') AS parent_ref FROM items i LEFT JOIN children c ON c.rec_id = i.rec_id AND c.target = i.item_ref""")
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.flatten(load(spark, d, "docling"), "items").select("rec_id", "item_ref", "parent_ref")
 
