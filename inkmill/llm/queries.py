@@ -116,5 +116,11 @@ SQL: dict[str, str] = {
     "p3_found": """
         SELECT DISTINCT p.profile, d.rec_id FROM docling d, split_profile p
         WHERE length(d.markdown) > 0 AND (length(d.markdown) > p.max_chars OR d.pages > p.max_pages)""",
+    "p5_found": r"""
+        WITH w AS (SELECT DISTINCT rec_id, list_filter(string_split_regex(lower(markdown), '[ \t\r\n]+'), lambda x: x <> '') AS w FROM docling WHERE markdown IS NOT NULL),
+        g AS (SELECT DISTINCT rec_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || chr(1) || w[i + 1] || chr(1) || w[i + 2])) AS g FROM w WHERE len(w) >= 3),
+        n AS (SELECT rec_id, count(*) AS n FROM g GROUP BY rec_id),
+        s AS (SELECT a.rec_id AS rec_a, b.rec_id AS rec_b, count(*) AS k FROM g a JOIN g b ON a.g = b.g AND a.rec_id < b.rec_id GROUP BY ALL)
+        SELECT rec_a, rec_b FROM s JOIN n x ON x.rec_id = rec_a JOIN n y ON y.rec_id = rec_b WHERE k >= 0.7 * (x.n + y.n - k)""",
     "p7_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
