@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     for the session. On a cluster an unset folder is an error, as a machine's own folder can't be shared.
     """
     conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir") or spark.conf.get("inkmill.shared.dir", "")
+    folder = spark.conf.get("spark.checkpoint.dir", "") or conf.get("spark.checkpoint.dir") or spark.conf.get("inkmill.shared.dir", "")
     if not folder:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
