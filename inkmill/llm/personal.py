@@ -1,8 +1,8 @@
 """Personal information in free text: found, judged by what it discloses, and replaced by typed placeholders.
 
 E-mail and postal addresses, phone and identity numbers have forms of their own and disclose a person by
-themselves. A name has no form: two capitalised words may as well be a town or an office. So every pair of words that
-could be a name is a candidate, and the corpus tells which words reveal persons. A candidate is cued where something
+themselves. A name has no form: two capitalised words may as well be a town or an office. So every pair of adjacent words
+that could be a name is a candidate, also inside longer runs of such words and over line ends, and the corpus tells which words reveal persons. A candidate is cued where something
 beside it speaks of a person: a header, a title, a signature, an e-mail address or a phone number in the same row. For
 each word the pointwise mutual information between the word and a cue is estimated over all texts; candidates whose
 words exceed the threshold are names everywhere, also where nothing beside them says so.
@@ -54,8 +54,9 @@ ADDRESS = re.compile(
 
 _WORD = r"[A-ZÀ-Þ](?:[a-zà-ÿ'’]+|[A-ZÀ-Þ]{2,})(?:-[A-ZÀ-Þ][\wà-ÿ'’]*)?"
 _PLAIN = r"[A-ZÀ-Þ][a-zà-ÿ'’]+(?:-[A-ZÀ-Þ][a-zà-ÿ'’]+)?"
-#: Runs of capitalised words, words with an initial, and a family name before a comma.
-PAIR = re.compile(rf"(?<![\w\-@./'’])(?:(?P<run>{_PLAIN}(?:[ ]{_PLAIN}|\n{_PLAIN})+)|(?P<ini>[A-Z]\. ?{_PLAIN})|(?P<fam>{_WORD}),(?:[ ]|\n)(?P<giv>{_PLAIN}|[A-Z]\.))(?![\w@/\-])")
+#: Two adjacent capitalised words of a run, a word with an initial, and a family name before a comma. They are looked ahead for, so that every
+#: window of a run is seen, also the one over a line end where a name wraps.
+PAIR = re.compile(rf"(?<![\w\-@./'’])(?=(?P<pair>{_PLAIN}(?:[ ]|\n){_PLAIN}|(?P<ini>[A-Z]\. ?{_PLAIN})|(?P<fam>{_WORD}),(?:[ ]|\n)(?P<giv>{_PLAIN}|[A-Z]\.))(?![\w@/\-]))")
 #: The most frequent Korean family names. Fixed values.
 FAMILY = "김이박최정강조윤장임한오서신권황안송전홍유고문양손배백허남심노하곽성차주우구민류나진지엄채원천방공현함변염여추도소석선설마길연위표명기반왕금옥육인맹제모"
 KOREAN = re.compile(rf"(?<![가-힣\w])(?P<name>[{FAMILY}][가-힣]{{2}})(?=$|[^가-힣\w]|님[이께은의을]?|씨|드림)", re.M)
@@ -95,15 +96,11 @@ def _free(spans: list[tuple[int, int]], a: int, b: int) -> bool:
 def names(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, str, str, bool]]:
     """(start, end, given or whole, family, cued) of all candidates outside the taken spans."""
     for m in PAIR.finditer(text):
-        a, b = m.span()
-        if m["run"]:
-            words = re.split(r"[ \n]", m["run"])
-            while len(words) > 2 and words[0] in BEFORE:
-                a += len(words[0]) + 1
-                words = words[1:]
-            if len(words) != 2 or words[0] in BEFORE:
+        a, b = m.span("pair")
+        if not m["ini"] and not m["fam"]:
+            given, family = re.split(r"[ \n]", m["pair"])
+            if given in BEFORE:
                 continue
-            given, family = words
         elif m["ini"]:
             given, family = "", m["ini"][2:].strip()
         else:
@@ -200,7 +197,7 @@ def redact(texts: DataFrame, disclosed: DataFrame) -> DataFrame:
                 for s in own or ():
                     if s["start"] >= at:
                         parts += (text[at : s["start"]], PLACEHOLDERS[s["kind"]])
-                        at = s["end"]
+                    at = max(at, s["end"])  # names of three words are two windows that overlap
                 out.append("".join((*parts, text[at:])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], schema=arrow)
 

@@ -36,6 +36,30 @@ def test_words_of_persons_are_told_from_others(spark):
     assert personal.judged(personal.candidates(texts.limit(0))).count() == 0
 
 
+def test_names_inside_runs_of_capitalised_words(spark):
+    people = [f"{g} {f}" for g in ("Ann", "Bob", "Cid", "Mary", "Dora") for f in ("Stone", "Reed", "Moss-Hill")]
+    rows = [("t", f"{i}", f"From: {p} <x{i}@x.example>\nNorth Bridge Meeting Notes: South River Report") for i, p in enumerate(people * 6)]
+    own = {
+        "signature": ("so be it.\n\nAnn Stone\nRecords Manager, Unit Four", {"Ann Stone"}),
+        "header": ("From: Bob Reed\nDate: Monday\nSubject: Bridge", {"Bob Reed"}),
+        "quoted": ("> From: Cid Moss-Hill\n> Date: Monday\n\nCid Reed\nTo be told", {"Cid Moss-Hill", "Cid Reed"}),
+        "list": ("Ann Reed\nBob Stone\nDora Moss-Hill\nNorth Bridge", {"Ann Reed", "Bob Stone", "Dora Moss-Hill"}),
+        "wrapped": ("it was Dora\nReed who came", {"Dora\nReed"}),
+        "run": ("Contact Stone, Bob or see Annual Report Cid Stone", {"Stone, Bob", "Cid Stone"}),
+    }
+    rows += [("d", k, text) for k, (text, _) in own.items()]
+    rows += [("m", f"{i}", "From: Ann Mary Stone <y@x.example>") for i in range(9)]
+    texts = spark.createDataFrame(rows, "origin_table string, ref_id string, text string")
+    found = personal.judged(personal.candidates(texts))
+    got = {k: set() for k in own}
+    for r in found.where("kind = 'name' AND origin_table = 'd'").collect():
+        got[r["ref_id"]].add(r["found"])
+    assert got == {k: names for k, (_, names) in own.items()}
+    new = {(r["origin_table"], r["ref_id"]): r["text"] for r in personal.redact(texts, found).collect()}
+    assert new["d", "list"] == "[NAME]\n[NAME]\n[NAME]\nNorth Bridge"
+    assert "Stone" not in new["m", "0"]
+
+
 def labelled(n, seed):
     rng = random.Random(seed)
     plain = ["the {0} was moved to the {1} in march", "each {0} must carry a {1} label", "kill the child process before the {0} aborts", "the parasite in the {0} sample died"]
