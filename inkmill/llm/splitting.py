@@ -3,7 +3,8 @@
 A text is cut where the vocabulary changes most: at every boundary the words of the block before and the block after
 are compared (cosine of counts); the depth of a valley is how far the similarity rises on both sides of it. In the
 window of positions where the next piece may end, the deepest valley among the boundaries of the best kind wins:
-paragraph ends, then line ends, then sentence ends, then spaces, and any character only where there is no space.
+paragraph ends, then line ends, then sentence ends. Where there is none of them it is the last space, and the last
+character only where there is no space.
 Then each piece is extended to the left by the overlap.
 
 A piece with its overlap has at most max_chars code points. Pages are not marked in every text, so a limit on pages
@@ -36,6 +37,8 @@ BLOCK_WORDS = 60
 
 _WORD = re.compile(r"\w{2,}")
 _KINDS = (re.compile(r"\n[^\S\n]*\n\s*"), re.compile(r"\n+"), re.compile(r"(?<=[.!?。…])[\"')\]]*\s+"), re.compile(r"\s+"))
+#: The first kinds, whose boundaries have a depth.
+NATURAL = 3
 _FENCE = re.compile(r"^(```|~~~).*?^\1[^\n]*$", re.S | re.M)
 _TABLE = re.compile(r"(?:^\|.*(?:\n|\Z))+", re.M)
 
@@ -83,7 +86,7 @@ def cut(text: str, limit: int, fresh: int, overlap: int) -> list[tuple[int, int,
     limit, size = max(2, limit), len(text)
     overlap = max(0, min(overlap, limit // 2))
     kinds = boundaries(text)
-    valley: dict[int, float] | None = None
+    valleys: dict[int, dict[int, float]] = {}  # by kind, when first needed
     out, own = [], 0
     while own < size:
         begin = max(0, own - overlap)
@@ -96,10 +99,10 @@ def cut(text: str, limit: int, fresh: int, overlap: int) -> list[tuple[int, int,
         for level, places in enumerate(kinds):
             lo, hi = bisect_left(places, first), bisect_right(places, last)
             if lo < hi:
-                if level == 0:
-                    if valley is None:
-                        valley = depths(text, places)
-                    end = max(places[lo:hi], key=lambda p: (valley[p], p))
+                if level < NATURAL:
+                    if level not in valleys:
+                        valleys[level] = depths(text, places)
+                    end = max(places[lo:hi], key=lambda p, v=valleys[level]: (v[p], p))
                 else:
                     end = places[hi - 1]
                 break

@@ -29,6 +29,15 @@ def test_cuts_lie_where_the_topic_changes():
     assert splitting.cut(text, int(change * 1.3), 10**9, 0)[0][2] == change
 
 
+def test_line_and_sentence_ends_are_cut_where_the_topic_changes_too():
+    rng = random.Random(9)
+    topics = [" ".join(rng.choice([f"t{k}x{j}" for j in range(12)]) for _ in range(30)) for k in range(2) for _ in range(6)]
+    for mark in ("\n", ". ", " |\n| "):
+        text = "| " * ("|" in mark) + mark.join(topics)
+        change = text.index("t1x") - 2 * ("|" in mark)
+        assert splitting.cut(text, int(change * 1.3), 10**9, 0)[0][2] == change, mark
+
+
 def test_which_records_are_cut(spark):
     rows = [(1, "x" * 11, 1), (1, "x" * 11, 1), (2, "x" * 10, 1), (3, "y y", 9), (4, None, 99), (5, "", 99), (6, "z" * 4, None), (7, "가 " * 40, 3)]
     df = spark.createDataFrame([(*r, "p") for r in rows], "rec_id bigint, markdown string, pages int, profile string")
