@@ -191,23 +191,40 @@ def taught(x: np.ndarray) -> np.ndarray:
 _BLANK, _DIGITS, _CAPITAL = re.compile(r"\s+"), re.compile(r"\d+"), re.compile(r"\b[A-Z]\w+")
 
 
+def _own_key(text: str) -> int:
+    """Hash of the words of a block."""
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(_BLANK.sub(" ", text).strip().lower().encode())
+
+
 def _keys(text: str) -> tuple[int, int]:
     """Hashes of a block: of its words, and of its pattern without numbers, names and addresses."""
     import xxhash
 
-    plain = _BLANK.sub(" ", text).strip().lower()
     pattern = _BLANK.sub(" ", _CAPITAL.sub("X", _DIGITS.sub("0", _MAIL.sub("@", text)))).strip()
     pattern = pattern if not _LEGAL.search(text) else " ".join(pattern.split()[:6])
-    return xxhash.xxh3_64_intdigest(plain.encode()), xxhash.xxh3_64_intdigest(pattern.encode())
+    return _own_key(text), xxhash.xxh3_64_intdigest(pattern.encode())
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def _scoped(scope: int, key: int) -> int:
+    return _signed((scope * 0x9E3779B97F4A7C15 ^ key) & 0xFFFFFFFFFFFFFFFF)
+
+
+#: In the place of the number of a block that only adds to the keys.
+QUOTED = -1
+
+
 def corpus_stats(bodies: DataFrame) -> DataFrame:
     """(msg_id, stats): for each block without quote prefixes its ancestor overlap, sender frequency and pattern frequency.
 
+    Quoted blocks are known as such and get no stats, nor are they words of the sender; but they count as an earlier
+    copy in the thread, so each adds to the ancestor keys by a row that isn't joined back.
+
     One narrow row for each block and scope; one aggregation over all scopes, one join back."""
     arrow = pa.schema([("msg_id", pa.string()), ("block", pa.int32()), ("scope", pa.int8()), ("key", pa.int64()), ("at", pa.int64())])
 
@@ -219,16 +236,17 @@ def corpus_stats(bodies: DataFrame) -> DataFrame:
             for tid, msg_id, sent, address, text, marks in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
                 thread, who = (xxhash.xxh3_64_intdigest(f"{k}\0{v}".encode("utf-8", "replace")) for k, v in (("t", tid), ("s", address)))
                 for i, b in enumerate(blocks(text, marks)):
-                    if b.depth or b.after or b.header:
-                        continue  # a quotation by its own lines is known as one
+                    if b.depth or b.after or b.header:  # a quotation by its own lines is known as one
+                        rows.append((msg_id, QUOTED, 0, _scoped(thread, _own_key(b.text)), sent))
+                        continue
                     own, pattern = _keys(b.text)
-                    rows += ((msg_id, i, s, _signed((k * 0x9E3779B97F4A7C15 ^ h) & 0xFFFFFFFFFFFFFFFF), sent) for s, k, h in ((0, thread, own), (1, who, own), (2, 1, pattern)))
+                    rows += ((msg_id, i, s, _scoped(k, h), sent) for s, k, h in ((0, thread, own), (1, who, own), (2, 1, pattern)))
             columns = list(zip(*rows, strict=True)) or [[] for _ in arrow]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     keyed = written(bodies.select("tid", "msg_id", "sent", "address", "body", "marks").mapInArrow(run, "msg_id string, block int, scope tinyint, key bigint, at bigint"), "blocks")
-    counted = written(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("at").alias("first")), "block-keys")
-    back = join_counted(keyed, counted, "key", "n", ["n", "first"])
+    counted = written(keyed.groupBy("key").agg(F.count_if(F.col("block") != QUOTED).alias("n"), F.min("at").alias("first")).where("n > 0"), "block-keys")
+    back = join_counted(keyed.where(F.col("block") != QUOTED), counted, "key", "n", ["n", "first"])
     value = F.when(F.col("scope") == 0, F.coalesce(F.col("first") < F.col("at"), F.lit(False)).cast("double")).otherwise(F.log1p(F.col("n") - 1))
     return back.groupBy("msg_id").agg(F.collect_list(F.struct("block", "scope", value.cast("float").alias("v"))).alias("stats"))
 

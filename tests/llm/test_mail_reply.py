@@ -81,6 +81,14 @@ def test_trees_learn_an_interaction():
     assert (model.classify(x[2000:]) == y[2000:]).mean() > 0.97 and len(model.classify(x[:0])) == 0
 
 
+def test_quoted_blocks_are_earlier_copies_too(spark):
+    rows = [("t", "m1", 1, "a@x.example", "I agree.\n\n> The bridge is shut on Monday.", None), ("t", "m2", 2, "b@x.example", "See below.\n\nThe bridge is shut on Monday.", None), ("u", "m3", 3, "b@x.example", "The bridge is shut on Monday.", None)]
+    df = spark.createDataFrame(rows, "tid string, msg_id string, sent bigint, address string, body string, marks array<int>")
+    got = {(r["msg_id"], e["block"], e["scope"]): e["v"] for r in reply.corpus_stats(df).collect() for e in r["stats"]}
+    assert {k[:2]: v for k, v in got.items() if k[2] == 0} == {("m1", 0): 0.0, ("m2", 0): 0.0, ("m2", 1): 1.0, ("m3", 0): 0.0}
+    assert got["m1", 0, 1] == 0.0 and got["m2", 0, 1] == 0.0 and round(got["m2", 1, 1], 3) == 0.693
+
+
 def test_new_text_of_messages(spark):
     rows = []
     for i in range(60):
