@@ -124,7 +124,7 @@ def q_heading_diff(spark: SparkSession, d: str) -> DataFrame:
     return compare.heading_differences(load(spark, d, "docling"), load(spark, d, "mineru"))
 
 
-@query(r"""WITH w AS (SELECT DISTINCT rec_id, side, unnest(string_split_regex(lower(md), '[^a-z]+')) AS word, generate_subscripts(string_split_regex(lower(md), '[^a-z]+'), 1) AS i
+@query(r"""WITH w AS (SELECT DISTINCT rec_id, side, unnest(string_split_regex(lower(md), '[^\p{L}\p{N}]+')) AS word, generate_subscripts(string_split_regex(lower(md), '[^\p{L}\p{N}]+'), 1) AS i
   FROM (SELECT DISTINCT rec_id, side, coalesce(md, '') AS md FROM (SELECT rec_id, 'a' AS side, markdown AS md FROM docling UNION ALL SELECT rec_id, 'b', markdown FROM mineru))),
 c AS (SELECT rec_id, word, count(*) FILTER (side = 'a') AS n_a, count(*) FILTER (side = 'b') AS n_b FROM w WHERE word <> '' AND rec_id IN (SELECT rec_id FROM mineru) GROUP BY ALL)
 SELECT rec_id, sum(least(n_a, n_b))::BIGINT AS shared, sum(greatest(n_a - n_b, 0))::BIGINT AS only_a, sum(greatest(n_b - n_a, 0))::BIGINT AS only_b FROM c GROUP BY rec_id""")
@@ -133,7 +133,7 @@ def q_word_multisets(spark: SparkSession, d: str) -> DataFrame:
 
     def words(name: str, n: str) -> DataFrame:
         t = load(spark, d, name).select("rec_id", "markdown").dropDuplicates(["rec_id"])
-        return t.select("rec_id", F.explode(F.split(F.lower("markdown"), "[^a-z]+")).alias("word")).where("word != ''").groupBy("rec_id", "word").agg(F.count("*").alias(n))
+        return t.select("rec_id", F.explode(F.split(F.lower("markdown"), r"[^\p{L}\p{N}]+")).alias("word")).where("word != ''").groupBy("rec_id", "word").agg(F.count("*").alias(n))
 
     a = words("docling", "n_a").join(load(spark, d, "mineru").select("rec_id"), "rec_id", "left_semi")
     both = a.join(words("mineru", "n_b"), ["rec_id", "word"], "full").na.fill(0, ["n_a", "n_b"])
@@ -369,9 +369,9 @@ def q_pending_actions(spark: SparkSession, d: str) -> DataFrame:
 _SLUG = r"coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce({0}, ''), '^[\s\x0b]+|[\s\x0b]+$', '', 'g'), '[\s\x0b]+', '-', 'g'), '[\\/:*?\"<>|]', '', 'g'), '^[-. ]+|[-. ]+$', '', 'g')[1:{1}], ''), 'no-subject')"
 
 
-@query("SELECT doc_id, " + _SLUG.format("left(text, 200)", 50) + " AS slug FROM documents")
+@query("SELECT doc_id, " + _SLUG.format("text", 50) + " AS slug FROM documents")
 def q_slug(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "documents").select("doc_id", fn.slug(F.substring("text", 1, 200)).alias("slug"))
+    return load(spark, d, "documents").select("doc_id", fn.slug(F.col("text")).alias("slug"))
 
 
 # ---- text and forms --------------------------------------------------------------------------------------------
@@ -425,10 +425,11 @@ def q_multiline_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""WITH s AS (SELECT doc_id, text, regexp_extract_all(text, '\[\[([^\]|#\n]+)\]\]', 1) AS k, regexp_extract_all(text, '\[\[[^\]|#\n]+\]\]') AS w, string_split(regexp_replace(text, '\[\[([^\]|#\n]+)\]\]', chr(1), 'g'), chr(1)) AS b FROM documents WHERE text IS NOT NULL),
-e AS (SELECT doc_id, k, w, b, generate_subscripts(k, 1) AS i, unnest(k) AS key FROM s)
-SELECT doc_id, (i - 1)::INT AS place, key, (list_sum(list_transform(b[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(w[1:i - 1], lambda x: length(x))), 0))::INT AS at FROM e WHERE list_position(k, key) = i""")
+e AS (SELECT doc_id, k, w, b, generate_subscripts(k, 1) AS i, unnest(k) AS key FROM s),
+p AS (SELECT *, (list_sum(list_transform(b[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(w[1:i - 1], lambda x: length(x))), 0))::INT AS at FROM e WHERE list_position(k, key) = i)
+SELECT p.doc_id, (i - 1)::INT AS place, key, p."at" AS "at", regexp_extract_all(substr(d.text, greatest(p."at" - 499, 1), least(p."at", 500)), '\[([^\]]+)\]', 1)[-1] AS label FROM p JOIN documents d USING (doc_id)""")
 def q_placeholder_keys(spark: SparkSession, d: str) -> DataFrame:
-    return forms.placeholders(load(spark, d, "documents").where("text IS NOT NULL"), "doc_id", "text", r"\[\[([^\]|#\n]+)\]\]").drop("label")
+    return forms.placeholders(load(spark, d, "documents").where("text IS NOT NULL"), "doc_id", "text", r"\[\[([^\]|#\n]+)\]\]")
 
 
 @query("SELECT p_partkey, p_size AS at, CASE WHEN p_size >= 20 AND p_size < 25 THEN 2 WHEN p_size >= 10 AND p_size < 30 THEN 1 ELSE 0 END AS depth FROM part")
@@ -465,9 +466,8 @@ def q_clock_times(spark: SparkSession, d: str) -> DataFrame:
 # ---- search ----------------------------------------------------------------------------------------------------
 
 
-@query(r"""WITH w AS (SELECT doc_id AS id, unnest(list_distinct(list_filter(string_split_regex(lower(text), '[^a-z가-힣]+'), lambda x: length(x) >= 3))) AS w FROM documents WHERE text IS NOT NULL),
-r AS (SELECT w FROM w GROUP BY w HAVING count(*) * 10 <= (SELECT count(*) FROM documents)), t AS (SELECT * FROM w WHERE w IN (SELECT w FROM r)),
-s AS (SELECT a.id AS query, b.id AS hit, count(*) AS shared FROM t a JOIN t b USING (w) WHERE a.id % 100 = 0 AND a.id <> b.id GROUP BY ALL)
+@query(r"""WITH w AS (SELECT doc_id AS id, unnest(list_distinct(list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> ''))) AS w FROM documents WHERE text IS NOT NULL),
+s AS (SELECT a.id AS query, b.id AS hit, count(*) AS shared FROM w a JOIN w b USING (w) WHERE a.id % 100 = 0 AND a.id <> b.id GROUP BY ALL)
 SELECT query, hit, shared, place FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY shared DESC, hit)::INT AS place FROM s) WHERE place <= 5""")
 def q_topk_terms(spark: SparkSession, d: str) -> DataFrame:
     return search.by_terms(load(spark, d, "documents"), "doc_id", "text")
@@ -520,17 +520,20 @@ def q_answer_lists(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", found.alias("l")).where("l IS NOT NULL").select("event_id", F.date_format(F.to_date(F.lit("2024-02-28")), "yyyy").alias("year"), F.try_variant_get(F.col("l")[0], "$.k", "int").alias("first"))
 
 
-@query(r"""SELECT doc_id, trim(regexp_extract(l, '^\s*([^:]+):\s', 1)) AS key, count(*) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents WHERE source = 'vault_note') WHERE regexp_matches(l, '^\s*[^:]+:\s') GROUP BY ALL""")
+@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
+e AS (SELECT doc_id, i, trim(string_split(l, ':')[1], ' ') AS key, trim(regexp_replace(l, '^[^:]*:', ''), ' ') AS value FROM l WHERE regexp_matches(l, '^[\s\x0b]*[^:]+:[\s\x0b]'))
+SELECT doc_id, key, arg_max(value, i) AS value FROM e GROUP BY doc_id, key""")
 def q_marker_entries(spark: SparkSession, d: str) -> DataFrame:
-    docs = load(spark, d, "documents").where("source = 'vault_note'")
-    kept = docs.select("doc_id", F.map_keys(notes.entries(F.col("text"))).alias("keys"), F.filter(F.split("text", "\n"), lambda x: x.rlike(r"^\s*[^:]+:\s")).alias("lines"))
-    return kept.select("doc_id", F.explode("keys").alias("key"), "lines").select("doc_id", "key", F.size(F.filter("lines", lambda x: F.trim(F.substring_index(x, ":", 1)) == F.col("key"))).cast("bigint").alias("n"))
+    docs = load(spark, d, "documents").where("text IS NOT NULL")
+    return docs.select("doc_id", F.explode(notes.entries(F.col("text"))).alias("key", "value"))
 
 
-@query(r"""SELECT doc_id, array_to_string(list_transform(list_filter(list_zip(range(0, 10000), string_split(text, chr(10))), lambda p: trim(coalesce(p[2], ''), ' ') <> ''), lambda p: '[' || lpad(((p[1] * 7) % 3600 // 60)::VARCHAR, 2, '0') || ':' || lpad(((p[1] * 7) % 60)::VARCHAR, 2, '0') || '] ' || trim(p[2], ' ')), chr(10)) AS md
-FROM (SELECT doc_id, text FROM documents WHERE source = 'qa_job' AND length(text) > 0 AND regexp_matches(text, '[^ \n]'))""")
+@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
+k AS (SELECT doc_id, string_agg('[' || CASE WHEN s >= 3600 THEN (s // 3600)::VARCHAR || ':' ELSE '' END || lpad((s % 3600 // 60)::VARCHAR, 2, '0') || ':' || lpad((s % 60)::VARCHAR, 2, '0') || '] ' || trim(l, ' '), chr(10) ORDER BY i) AS md FROM (SELECT *, (i - 1) * 7 AS s FROM l) WHERE trim(l, ' ') <> '' GROUP BY doc_id)
+SELECT doc_id, coalesce(md, '(no speech)') AS md FROM documents LEFT JOIN k USING (doc_id) WHERE text IS NOT NULL""")
 def q_transcripts(spark: SparkSession, d: str) -> DataFrame:
-    docs = load(spark, d, "documents").where("source = 'qa_job' AND char_length(text) > 0").where(F.col("text").rlike(r"[^ \n]"))
+    """The lines of every text as the segments of a recording, seven seconds each."""
+    docs = load(spark, d, "documents").where("text IS NOT NULL")
     segments = F.transform(F.split("text", "\n"), lambda x, i: F.struct((i * 7).alias("start"), x.alias("text")))
     return docs.select("doc_id", notes.transcript(segments).alias("md"))
 
