@@ -3,16 +3,16 @@
 A text is cut where the vocabulary changes most: at every boundary the words of the block before and the block after
 are compared (cosine of counts); the depth of a valley is how far the similarity rises on both sides of it. In the
 window of positions where the next piece may end, the deepest valley among the boundaries of the best kind wins:
-paragraph ends, then line ends, then sentence ends. Where there is none of them it is the last space, and the last
-character only where there is no space.
+paragraph ends, then line ends, then sentence ends. Where there is none of them it is the last space. A window that
+holds no boundary at all is widened to the whole piece, and only where that holds none either it is the last character.
 Then each piece is extended to the left by the overlap.
 
 A piece with its overlap has at most max_chars code points. Pages are not marked in every text, so a limit on pages
 becomes a limit on what a piece adds to the piece before: the share of the text that max_pages is of its pages.
 
 Defined results: null and empty texts are never cut; a null limit does not apply; null pages exceed nothing; an
-overlap is never longer than half of the limit; a limit below 2 characters is taken as 2; profiles given twice
-count once; records delivered twice count once.
+overlap is as long as asked, or all text before where that is shorter; one that leaves no room for new text within the
+limit is an error; a limit below 2 characters is taken as 2; profiles given twice count once; records delivered twice count once.
 """
 
 from __future__ import annotations
@@ -83,10 +83,24 @@ def depths(text: str, cuts: list[int]) -> dict[int, float]:
 
 def cut(text: str, limit: int, fresh: int, overlap: int) -> list[tuple[int, int, int]]:
     """(begin, own, end) of the pieces: text[own:end] is new and text[begin:own] repeats the end of the piece before."""
-    limit, size = max(2, limit), len(text)
-    overlap = max(0, min(overlap, limit // 2))
+    limit, size, overlap = max(2, limit), len(text), max(0, overlap)
+    if overlap >= limit:
+        raise ValueError(f"an overlap of {overlap} leaves no room for new text within {limit} characters")
     kinds = boundaries(text)
     valleys: dict[int, dict[int, float]] = {}  # by kind, when first needed
+
+    def best(first: int, last: int) -> int:
+        """The deepest valley between first and last of the best kind that is there; 0 if there is none."""
+        for level, places in enumerate(kinds):
+            lo, hi = bisect_left(places, first), bisect_right(places, last)
+            if lo < hi:
+                if level >= NATURAL:
+                    return places[hi - 1]
+                if level not in valleys:
+                    valleys[level] = depths(text, places)
+                return max(places[lo:hi], key=lambda p: (valleys[level][p], p))
+        return 0
+
     out, own = [], 0
     while own < size:
         begin = max(0, own - overlap)
@@ -94,26 +108,20 @@ def cut(text: str, limit: int, fresh: int, overlap: int) -> list[tuple[int, int,
         if last >= size:
             out.append((begin, own, size))
             break
-        first = own + max(1, int((last - own) * (1 - WINDOW)))
-        end = 0
-        for level, places in enumerate(kinds):
-            lo, hi = bisect_left(places, first), bisect_right(places, last)
-            if lo < hi:
-                if level < NATURAL:
-                    if level not in valleys:
-                        valleys[level] = depths(text, places)
-                    end = max(places[lo:hi], key=lambda p, v=valleys[level]: (v[p], p))
-                else:
-                    end = places[hi - 1]
-                break
-        out.append((begin, own, end or last))
-        own = end or last
+        # first where a piece is well filled, then anywhere in it, before it is cut at any character
+        end = best(own + max(1, int((last - own) * (1 - WINDOW))), last) or best(own + 1, last) or last
+        out.append((begin, own, end))
+        own = end
     return out
 
 
 def limits(profiles: DataFrame) -> list[tuple[str, int | None, int | None, int]]:
     rows = bounded(profiles.select("profile", "max_chars", "max_pages", "overlap_chars").distinct(), MAX_PROFILES, "the table of profiles")
-    return sorted(((r[0], r[1], r[2], r[3] or 0) for r in rows), key=str)
+    known = sorted(((r[0], r[1], r[2], r[3] or 0) for r in rows), key=str)
+    for name, chars, _, overlap in known:
+        if chars is not None and overlap >= max(2, chars):
+            raise ValueError(f"profile {name}: an overlap of {overlap} leaves no room for new text within {chars} characters")
+    return known
 
 
 def oversized(df: DataFrame, profiles: list, id_col: str, text_col: str, pages_col: str) -> DataFrame:

@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pytest
 
 from inkmill.llm import neardup, splitting
 
@@ -14,14 +15,33 @@ def prose(n, words=WORDS):
 
 
 def test_pieces_cover_the_text_within_the_limit_and_share_the_overlap():
-    for text, limit, overlap in [(prose(900), 700, 120), ("x" * 5000, 300, 50), ("a\n" * 1000, 97, 40), (prose(50), 10_000, 5), ("가나다. " * 500, 128, 0), ("|a|b|\n" * 300, 200, 20), (prose(60), 2, 100)]:
+    for text, limit, overlap in [(prose(900), 700, 120), ("x" * 5000, 300, 50), ("a\n" * 1000, 97, 40), (prose(50), 10_000, 5), ("가나다. " * 500, 128, 0), ("|a|b|\n" * 300, 200, 20), (prose(60), 9, 8), ("word " + "y" * 300, 100, 10)]:
         cut = splitting.cut(text, limit, limit, overlap)
         assert cut[0][:2] == (0, 0) and cut[-1][2] == len(text)
         for (_, _, e), (b, o, _) in itertools.pairwise(cut):
-            assert o == e and o - b == min(overlap, limit // 2, o)
+            assert o == e and o - b == min(overlap, o)
         assert all(e - b <= max(2, limit) and e > o for b, o, e in cut)
 
 
+def test_a_bare_cut_is_the_last_resort_and_an_overlap_without_room_an_error():
+    assert splitting.cut("word " + "y" * 300, 100, 100, 10)[0][2] == 5
+    with pytest.raises(ValueError):
+        splitting.cut("word " * 9, 10, 10, 10)
+
+
+def test_the_pieces_of_whole_records_join_back_to_their_text(spark):
+    texts = {k: prose(200 + 90 * k) for k in range(8)}
+    df = spark.createDataFrame([(k, t, 60) for k, t in texts.items()], "rec_id bigint, markdown string, pages int")
+    profiles = spark.createDataFrame([("a", 600, None, 50), ("b", 900, 20, 120), ("c", None, 9, 30)], "profile string, max_chars int, max_pages int, overlap_chars int")
+    rows = splitting.pieces(df, profiles).orderBy("profile", "rec_id", "piece_no").collect()
+    for (profile, rec_id), own in itertools.groupby(rows, key=lambda r: (r["profile"], r["rec_id"])):
+        own = list(own)
+        assert "".join(r["piece"][r["own_char"] - r["begin_char"] :] for r in own) == texts[rec_id]
+        assert all(len(r["piece"]) <= {"a": 600, "b": 900}.get(profile, 10**9) for r in own)
+        asked = {"a": 50, "b": 120, "c": 30}[profile]
+        assert all(r["own_char"] - r["begin_char"] == min(asked, r["own_char"]) and x["piece"].endswith(r["piece"][: r["own_char"] - r["begin_char"]][-len(x["piece"]) :]) for x, r in itertools.pairwise(own))
+
+
 def test_cuts_lie_where_the_topic_changes():
     topics = [" ".join(RNG.choice([f"t{k}x{j}" for j in range(12)]) for _ in range(30)) for k in range(2) for _ in range(6)]
     text = "\n\n".join(topics)
