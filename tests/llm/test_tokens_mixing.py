@@ -29,17 +29,32 @@ def test_an_empty_table(spark):
 
 
 def test_the_splitting_tree_is_exact():
-    rng = np.random.default_rng(1)
+    quotas = [100, 0, 3, 57]
     for leaves in (1, 2, 7, 16):
-        q = np.array([100, 0, 3, 57])
-        dealt = mixing.split(q, leaves, rng)
-        assert dealt.shape == (leaves, 4) and (dealt.sum(axis=0) == q).all() and (dealt >= 0).all()
-        assert abs(dealt.sum(axis=1) - 160 / leaves).max() <= np.log2(leaves) + 1
+        tree, again = mixing.Tree(quotas, leaves, (1, 0)), mixing.Tree(quotas, leaves, (1, 0))
+        shards = [[tree.shard(s, k) for k in range(q)] for s, q in enumerate(quotas)]
+        assert [[again.shard(s, k) for k in reversed(range(q))][::-1] for s, q in enumerate(quotas)] == shards  # in whatever order blocks come
+        sums = np.bincount([x for own in shards for x in own], minlength=leaves)
+        assert len(sums) == leaves and abs(sums - 160 / leaves).max() <= np.log2(leaves) + 1
+
+
+def test_thousands_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 1)
+    monkeypatch.setattr(mixing, "CHUNK", 64)
+    monkeypatch.setattr(mixing, "SHARD_TOKENS", 3)
+    monkeypatch.setattr(mixing, "NODES", 50)
+    sizes = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"), F.lit(2).cast("bigint").alias("tokens"))
+    targets = spark.createDataFrame([("r", "a", 1.0, 1, 0.6), ("r", "b", 2.0, 1, 0.6)], "run_name string, source string, weight double, max_repeat int, size_ratio double")
+    sample, report = mixing.mix(sizes, targets)
+    rows = sample.collect()
+    assert len({r["shard"] for r in rows}) > 1500 and len({r["doc_id"] for r in rows}) == len(rows) == 3600
+    assert {r["source"]: r["tokens"] for r in report.collect()} == {"a": 2400, "b": 4800}
 
 
 @pytest.fixture
 def mixed(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK_DOCS", 16)
+    monkeypatch.setattr(mixing, "CHUNK", 8)
     monkeypatch.setattr(mixing, "SHARD_TOKENS", 2000)
     rows = [(i, "big" if i < 900 else "small" if i < 960 else None if i < 970 else "empty", 0 if i >= 970 else 1 + i % 19) for i in range(980)]
     sizes = spark.createDataFrame(rows, "doc_id bigint, source string, tokens bigint")
