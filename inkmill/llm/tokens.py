@@ -11,6 +11,7 @@ other; a null document id is kept; a document id that stands twice is encoded on
 from __future__ import annotations
 
 import base64
+import functools
 import os
 from collections.abc import Iterable, Iterator
 
@@ -45,6 +46,7 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
+@functools.lru_cache(2)
 def _encoder(path: str):
     import public_tokenizers
     import tiktoken
@@ -53,15 +55,14 @@ def _encoder(path: str):
 
 
 def words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, pos, word) of all texts."""
+    """(doc_id, version, pos, word) of all texts; version is a hash of the text. Written once, as the words are both counted and joined."""
     split = F.regexp_extract_all(df[text_col], F.lit(word_pattern()), F.lit(0))
-    return df.select(df[id_col].alias("doc_id"), F.posexplode(split).alias("pos", "word"))
+    return written(df.select(df[id_col].alias("doc_id"), F.xxhash64(df[text_col]).alias("version"), F.posexplode(split).alias("pos", "word")), "text-words")
 
 
-def word_table(df: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
-    """(word, n, ids): every distinct word of the texts with its number and its ids; written once."""
+def word_table(said: DataFrame, path: str | None = None) -> DataFrame:
+    """(word, n, ids): every distinct word of a table of words with its number and its ids; written once."""
     path = path or tokenizer_file()
-    split = F.explode(F.regexp_extract_all(df[text_col], F.lit(word_pattern()), F.lit(0))).alias("word")
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _encoder(path)
@@ -69,27 +70,30 @@ def word_table(df: DataFrame, text_col: str = "text", path: str | None = None) -
             ids = [own.encode_ordinary(w) for w in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.list_(pa.int32()))], names=["word", "n", "ids"])
 
-    counted = df.select(split).groupBy("word").agg(F.count("*").alias("n"))
+    counted = said.groupBy("word").agg(F.count("*").alias("n"))
     return written(counted.mapInArrow(encode, "word string, n bigint, ids array<int>"), "words")
 
 
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """(doc_id, ids): the ids of every text, without special tokens. ``id_col`` must be unique among the rows."""
+    """(doc_id, ids): the ids of every text, without special tokens; one row for each id and text."""
     df = df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
-    table = word_table(df, "text", path)
-    joined = join_counted(words(df, "doc_id", "text"), table, "word", "n", ["ids"])
-    ordered = joined.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
+    said = words(df, "doc_id", "text")
+    joined = join_counted(said, word_table(said, path), "word", "n", ["ids"])
+    # a set, as a row given twice has each of its words twice
+    ordered = joined.groupBy("doc_id", "version").agg(F.sort_array(F.collect_set(F.struct("pos", "ids"))).alias("parts"))
     spelt = ordered.select("doc_id", F.flatten(F.col("parts.ids")).alias("ids"))
-    none = df.where("text IS NULL OR text = ''").select("doc_id", F.array().cast("array<int>").alias("ids"))
+    none = df.where("text IS NULL OR text = ''").select("doc_id").distinct().select("doc_id", F.array().cast("array<int>").alias("ids"))
     return spelt.unionByName(none)
 
 
 def counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """(doc_id, tokens): the number of ids of every text; 0 for null and empty texts."""
+    """(doc_id, tokens): the number of ids of every text; 0 for null and empty texts; one row for each id and text."""
     df = df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
-    table = word_table(df, "text", path)
-    sizes = join_counted(words(df, "doc_id", "text"), table.withColumn("k", F.size("ids")), "word", "n", ["k"]).groupBy("doc_id").agg(F.sum("k").alias("tokens"))
-    none = df.where("text IS NULL OR text = ''").select("doc_id", F.lit(0).cast("bigint").alias("tokens"))
+    said = words(df, "doc_id", "text")
+    sized = join_counted(said, word_table(said, path).withColumn("k", F.size("ids")), "word", "n", ["k"])
+    copies = F.count("*") / (F.max("pos") + 1)
+    sizes = sized.groupBy("doc_id", "version").agg((F.sum("k") / copies).cast("bigint").alias("tokens")).drop("version")
+    none = df.where("text IS NULL OR text = ''").select("doc_id").distinct().select("doc_id", F.lit(0).cast("bigint").alias("tokens"))
     return sizes.unionByName(none)
 
 

@@ -24,6 +24,14 @@ def test_ids_equal_the_tokenizer_and_decode_back(spark):
     assert {r["doc_id"]: r["tokens"] for r in tokens.counts(frame(spark, texts)).collect()} == {i: len(x) for i, x in got.items()}
 
 
+def test_an_id_that_stands_twice_has_a_row_for_each_of_its_texts(spark):
+    df = spark.createDataFrame([(1, "one two two"), (1, "one two two"), (1, "three"), (2, None), (2, ""), (None, "four")], "doc_id bigint, text string")
+    own = tokens._encoder(tokens.tokenizer_file()).encode_ordinary
+    want = [(1, own("one two two")), (1, own("three")), (2, []), (None, own("four"))]
+    assert sorted(map(repr, ((r["doc_id"], list(r["ids"])) for r in tokens.encode(df).collect()))) == sorted(map(repr, want))
+    assert sorted(map(repr, ((r["doc_id"], r["tokens"]) for r in tokens.counts(df).collect()))) == sorted(repr((k, len(x))) for k, x in want)
+
+
 def test_an_empty_table(spark):
     assert tokens.encode(frame(spark, []).limit(0)).count() == 0 and tokens.counts(frame(spark, []).limit(0)).count() == 0
 
