@@ -7,6 +7,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from xml.etree import ElementTree
 
 SECTION = re.compile(r"Contents/section\d+\.xml$")
@@ -28,44 +29,54 @@ def rewritten(data: bytes, changed: dict[str, bytes]) -> bytes:
     return out.getvalue()
 
 
-def _local(node: ElementTree.Element) -> str:
-    return node.tag.rpartition("}")[2]
+@dataclass
+class _Open:
+    """An element that is being read: what its inner elements have come to so far."""
 
+    kind: str
+    done: list[str] = field(default_factory=list)  # paragraphs and tables, rows of a table, cells of a row
+    said: str = ""
+    spans: str = ""
+    tables: int = 0
 
-def _said(node: ElementTree.Element) -> str:
-    return "".join("".join(t.itertext()) for t in node.iter() if _local(t) == "t")
 
-
-def _table(node: ElementTree.Element) -> str:
-    rows = []
-    for row in (x for x in node if _local(x) == "tr"):
-        cells = []
-        for cell in (x for x in row if _local(x) == "tc"):
-            spans = next((x for x in cell if _local(x) == "cellSpan"), None)
-            attributes = "".join(f' {k.lower()}="{spans.get(k)}"' for k in ("colSpan", "rowSpan") if spans is not None and spans.get(k, "1") != "1")
-            inner = "<br>".join(x for x in _blocks(cell) if x)
-            cells.append(f"<td{attributes}>{inner}</td>")
-        rows.append(f"<tr>{''.join(cells)}</tr>")
-    return f"<table>{''.join(rows)}</table>"
-
-
-def _blocks(node: ElementTree.Element) -> Iterator[str]:
-    """Paragraphs and tables in order. Of a paragraph that holds a table only the table comes out."""
-    for x in node:
-        kind = _local(x)
-        if kind == "tbl":
-            yield _table(x)
-        elif kind == "p":
-            if any(_local(y) == "tbl" for y in x.iter()):
-                yield from _blocks(x)
-            else:
-                yield html.escape(_said(x), quote=False) if _local(node) == "subList" else _said(x)
-        else:
-            yield from _blocks(x)
+#: Elements that gather what is inside them; all others hand it on to the one around them.
+GATHER = frozenset(("p", "tbl", "tr", "tc"))
 
 
 def section_text(xml: bytes) -> str:
-    return "\n\n".join(x.strip() for x in _blocks(ElementTree.fromstring(xml)) if x.strip())
+    """Paragraphs and tables of a section in order, by one pass over its parse events.
+
+    Of a paragraph that holds a table only the table comes out. A cell's paragraphs are escaped and parted by line breaks."""
+    top = _Open("section")
+    path: list[str] = []
+    open_: list[_Open] = [top]
+    for event, node in ElementTree.iterparse(io.BytesIO(xml), events=("start", "end")):
+        name = node.tag.rpartition("}")[2]
+        if event == "start":
+            path.append(name)
+            if name in GATHER:
+                open_.append(_Open(name))
+            continue
+        path.pop()
+        now = open_[-1]
+        if name == "t" and "t" not in path:
+            now.said += "".join(node.itertext())
+        elif name == "cellSpan" and now.kind == "tc":
+            now.spans = "".join(f' {k.lower()}="{node.get(k)}"' for k in ("colSpan", "rowSpan") if node.get(k, "1") != "1")
+        elif name in GATHER:
+            open_.pop()
+            around = open_[-1]
+            if name == "p":
+                around.done += now.done if now.tables else [html.escape(now.said, quote=False) if path[-1:] == ["subList"] else now.said]
+            elif name == "tc":
+                around.done.append(f"<td{now.spans}>{'<br>'.join(filter(None, now.done))}</td>")
+            elif name == "tr":
+                around.done.append(f"<tr>{''.join(now.done)}</tr>")
+            else:
+                around.done.append(f"<table>{''.join(now.done)}</table>")
+            around.tables += now.tables + (name == "tbl")
+    return "\n\n".join(x.strip() for x in top.done if x.strip())
 
 
 def package_text(data: bytes) -> str:
