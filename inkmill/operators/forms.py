@@ -124,3 +124,9 @@ def filled(text: Column, entries: list[tuple[str, str]], split: bool = True, str
 def missing_keys(text: Column, entries: list[tuple[str, str]]) -> Column:
     """The keys of the entries that a text doesn't hold."""
     return F.filter(F.array(*(F.lit(k) for k, _ in entries)), lambda k: ~F.contains(text, k))
+
+
+def key_counts(keys: DataFrame, id_col: str, hints: DataFrame) -> DataFrame:
+    """(id, keys, outer, nested, matched): how many keys a form has, outside and inside of tables, and how many the guide explains."""
+    j = keys.join(hints.select(id_col, "key").distinct().withColumn("_known", F.lit(True)), [id_col, "key"], "left")
+    return j.groupBy(id_col).agg(F.count("*").alias("keys"), F.count_if(F.col("depth") == 0).alias("outer"), F.count_if(F.col("depth") > 0).alias("nested"), F.count_if(F.col("_known")).alias("matched"))

@@ -156,3 +156,32 @@ def append_ledger(done: DataFrame, path: str) -> None:
     """Adds the keys of finished items to a ledger of text lines; nothing is written for an empty frame."""
     if not done.isEmpty():
         done.select(F.col("ledger_key").alias("value")).where("trim(value) != ''").write.mode("append").text(path)
+
+
+def marker_states(events: DataFrame) -> DataFrame:
+    """(source, state, at) of events (source, at, kind): the last one holds. An error leaves an error marker, a success clears it, and what is
+    too large to be parsed gets a skip marker, which is no failure. Of equal times the success holds, then the skip."""
+    rank = F.array_position(F.array(*map(F.lit, ("error", "bulk", "success"))), F.col("kind"))
+    last = events.where(F.col("source").isNotNull()).groupBy("source").agg(F.max(F.struct("at", rank.alias("r"), "kind")).alias("m"))
+    state = F.when(F.col("m.kind") == "error", "error").when(F.col("m.kind") == "bulk", "skipped").otherwise("clear")
+    return last.select("source", state.alias("state"), F.col("m.at").alias("at"))
+
+
+def still_due(listed: DataFrame, now: DataFrame) -> DataFrame:
+    """Of a list that was made earlier, what is still there and still as long. Both: path, length; checked again right before use."""
+    return listed.join(now.select("path", "length").distinct(), ["path", "length"], "left_semi")
+
+
+def post_checked(outcomes: DataFrame, listing: DataFrame, scan: DataFrame) -> DataFrame:
+    """(item, outcome): a failed item counts as done if it has left the inbox or a new scan finds it taken up.
+
+    outcomes: item, failed. listing: item. scan: item, taken_up."""
+    there = listing.select("item").distinct().withColumn("_there", F.lit(True))
+    taken = scan.where("taken_up").select("item").distinct().withColumn("_taken", F.lit(True))
+    j = outcomes.join(there, "item", "left").join(taken, "item", "left")
+    return j.select("item", F.when(~F.col("failed"), "done").when(F.col("_there").isNull(), "done, moved").when(F.col("_taken"), "done, taken up").otherwise("failed").alias("outcome"))
+
+
+def note_state(parsed: Column, verified: Column, asked: Column) -> Column:
+    """How far a note's attachment is: none, pending, parsed-pending-verify, or the path of what was parsed."""
+    return F.when(verified, parsed).when(parsed.isNotNull(), "parsed-pending-verify").when(F.coalesce(asked, F.lit(False)), "pending").otherwise("none")

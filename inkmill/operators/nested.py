@@ -5,7 +5,7 @@ an item decides the subtype table it is routed to; the keys that all items have
 position, label) stay together in the common table, and every row of a subtype table keeps its record and its item.
 
 Tables: ``items`` (the common one), ``texts``, ``cells``, ``positions``, ``pages``.
-Defined results: a null, cut-off or otherwise broken structure has no rows; an element that is no object is an item
+Defined results: a null, cut-off or otherwise broken structure has no rows, nor has one nested deeper than a JSON parser can go; an element that is no object is an item
 of variant ``other``; a missing array is an empty one; records given several times count once; a null record id
 stays null; other columns of the input are left alone.
 """
@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame
 ARRAYS = ("texts", "groups", "tables", "pictures")
 #: Keys of a link object.
 LINKS = ("$ref", "cref")
-MAX_PACKING = 8
 
 SCHEMAS = {
     "items": "rec_id bigint, item_ref string, parent_ref string, item_array string, item_pos int, variant string, label string, name string, n_children int",
@@ -92,11 +91,11 @@ def link(value: object) -> str | None:
 def unpack(text: str | None) -> dict | None:
     """The document of a record: unpacked from wrappers and from JSON within JSON; None if it isn't complete."""
     value: object = text
-    for _ in range(MAX_PACKING):
+    while True:  # every step takes one wrapping off
         if isinstance(value, str):
             try:
                 value = json.loads(value)
-            except ValueError:
+            except (ValueError, RecursionError):
                 return None
         elif isinstance(value, dict):
             kind = state(value)
@@ -106,7 +105,6 @@ def unpack(text: str | None) -> dict | None:
                 return value if kind == "document" else None
         else:
             return None
-    return None
 
 
 def _list(value: object) -> list:

@@ -41,19 +41,25 @@ def first_list(answer: Column) -> Column:
 def meetings(notes: DataFrame) -> DataFrame:
     """(code, note): meeting codes of the heads of notes (path, text); nothing in hidden folders."""
     head = F.substring("text", 1, HEAD_CHARS)
-    code = F.regexp_extract(head, rf"(?m)^meet_link:.*?{MEETING}", 1)
+    code = F.regexp_extract(head, rf"(?m)^meet_link:\s*\S*?/{MEETING}", 1)
     stem = F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1)
     seen = notes.where(~F.col("path").rlike(r"(^|/)\.[^/]+/")).select(code.alias("code"), "path", stem.alias("note")).where("code != ''")
     return seen.groupBy("code").agg(F.max_by("note", "path").alias("note"))
 
 
-def recording_name(name: Column, note: Column) -> Column:
-    """note or code, date and extension of a recording; a name without a code keeps its words, joined by _."""
-    code = F.regexp_extract(name, MEETING, 1)
-    day = F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1)
-    ext = F.coalesce(F.nullif(F.regexp_extract(name, r"(\.[A-Za-z0-9]{2,4})$", 1), F.lit("")), F.lit(".mp4"))
-    full = F.concat(F.coalesce(note, code), F.when(day != "", F.concat(F.lit("_"), day)).otherwise(""), ext)
-    return F.when(code == "", F.replace(name, F.lit(" "), F.lit("_"))).otherwise(full)
+def recording_name(name: Column, note: Column, suffix: str) -> Column:
+    """date_note_suffix.ext of a recording whose name holds a meeting's code and, after it, a date; without a note the code stands
+    for it. Any other name keeps its words, joined by _."""
+    form = rf"{MEETING}.*?(\d{{4}}-\d{{2}}-\d{{2}})"
+    code, day = F.regexp_extract(name, form, 1), F.regexp_extract(name, form, 2)
+    ext = F.coalesce(F.nullif(F.regexp_extract(name, r"[^.](\.[^./]*)$", 1), F.lit("")), F.lit(".mp4"))
+    return F.when(code == "", F.replace(name, F.lit(" "), F.lit("_"))).otherwise(F.concat(day, F.lit("_"), F.coalesce(note, code), F.lit(f"_{suffix}"), ext))
+
+
+def named_recordings(recordings: DataFrame, index: DataFrame, suffix: str) -> DataFrame:
+    """``recordings`` (name, ...) with their target names: the note of the meeting's code, if any has it."""
+    keyed = recordings.withColumn("code", F.regexp_extract("name", MEETING, 1))
+    return keyed.join(index, "code", "left").withColumn("target", recording_name(F.col("name"), F.col("note"), suffix)).drop("code", "note")
 
 
 def transcript(segments: Column) -> Column:

@@ -106,3 +106,45 @@ def counted_or_unknown(n: Column, what: str) -> Column:
 
 def backlog_status(n: Column, most: int = 20) -> Column:
     return F.when(n > most, "warn").otherwise("ok")
+
+
+def reset_time(output: Column) -> Column:
+    """When a limit is lifted, as a service's output says it; null if it doesn't."""
+    return F.nullif(F.lower(F.regexp_extract(output, r"(?i)resets\s+([0-9:]+\s*[ap]m)", 1)), F.lit(""))
+
+
+def ages(files: DataFrame, by: str, at: str, now: str, most: float) -> DataFrame:
+    """(by, files, newest, oldest, oldest_days, status): counts and ages of waiting files; old ones warn."""
+    g = files.groupBy(by).agg(F.count(at).alias("files"), F.max(at).alias("newest"), F.min(at).alias("oldest"))
+    days = (F.lit(now).cast("timestamp_ntz").cast("timestamp").cast("double") - F.col("oldest").cast("timestamp").cast("double")) / 86400
+    return g.withColumn("oldest_days", days).withColumn("status", F.when(F.coalesce(days, F.lit(0.0)) > most, "warn").otherwise("ok"))
+
+
+def judged(observations: DataFrame, rules: DataFrame) -> DataFrame:
+    """(section, label, value, status) of observations (section, label, value) by rules (section, kind, warn, fail).
+
+    kind ``most``: over the bound; ``least``: under it; ``there``: no value. A null bound doesn't apply, a section without a
+    rule is ok, and a value that couldn't be taken only warns, but where it must be there."""
+    v = F.col("value")
+    over = lambda b: F.coalesce(F.when(F.col("kind") == "most", v > F.col(b)).when(F.col("kind") == "least", v < F.col(b)), F.lit(False))
+    status = F.when(F.col("kind").isNull(), "ok").when(v.isNull(), F.when(F.col("kind") == "there", "fail").otherwise("warn")).when(over("fail"), "fail").when(over("warn"), "warn").otherwise("ok")
+    return observations.join(rules, "section", "left").select("section", "label", "value", status.alias("status"))
+
+
+def titled(items: DataFrame, titles: DataFrame) -> DataFrame:
+    """``items`` (section, ...) with the title of their section: from the table, else the section's own name, else its key."""
+    return items.join(titles, "section", "left").withColumn("title", F.coalesce("title", "name", "section")).drop("name")
+
+
+def composed(items: DataFrame, headline_: str, most: int = 5) -> DataFrame:
+    """(report): a report's text of its items (g, title, n, label, status, extra): the headline, the groups with their numbered lines,
+    and the numbers of all that is not ok. extra: names listed under a line, the first ``most`` of them and the number of the rest."""
+    shown = F.when(F.size("extra") > most, F.concat(F.slice("extra", 1, most), F.array(F.concat(F.lit("... "), (F.size("extra") - most).cast("string"), F.lit(" more"))))).otherwise(F.coalesce("extra", F.array().cast("array<string>")))
+    no = F.concat(F.col("g").cast("string"), F.lit("-"), F.col("n").cast("string"))
+    own = F.array_join(F.concat(F.array(F.concat(no, F.lit(". "), "label", F.lit(" ["), "status", F.lit("]"))), F.transform(shown, lambda x: F.concat(F.lit("  - "), x))), "\n")
+    groups = items.groupBy("g", "title").agg(F.array_sort(F.collect_list(F.struct("n", own.alias("t")))).alias("t"), F.array_sort(F.collect_list(F.when(F.col("status") != "ok", F.struct("n", no.alias("no"))))).alias("bad"), F.count("*").alias("all"), *(F.count_if(F.col("status") == s).alias(s) for s in STATUSES))
+    text = F.concat(F.lit("\n"), F.col("g").cast("string"), F.lit(". "), "title", F.lit("\n"), F.array_join(F.col("t.t"), "\n"))
+    one = groups.agg(F.array_sort(F.collect_list(F.struct("g", text.alias("x"), F.col("bad.no").alias("no")))).alias("s"), F.sum("all").alias("all"), *(F.sum(s).alias(s) for s in STATUSES))
+    refs = F.flatten(F.col("s.no"))
+    last = F.when(F.size(refs) > 0, F.concat(F.lit("\n\nsee "), F.array_join(refs, ", "))).otherwise("")
+    return one.select(F.concat(F.lit(f"{headline_} "), headline(F.col("all"), F.col("ok"), F.col("fail"), F.col("warn")), F.lit("\n"), F.array_join(F.col("s.x"), "\n"), last).alias("report"))

@@ -1,6 +1,7 @@
 """Captured mail threads: messages once each, headers, documents, upserts and actions.
 
-Payloads are read with a schema of PARTS levels of MIME parts; deeper parts are not looked at. Defined results: a null
+Payloads are read with a schema of PARTS levels of MIME parts; the few that may be nested deeper are read one by one in
+Python. Defined results: a null
 or unreadable time counts as 0; of equal times the first (or, where said, the last) position holds; of repeated
 headers the last one; a message listed twice counts once, at its first position.
 """
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 
 from inkmill.functions.text import seoul, slug, url_base64
 
-#: Levels of nested parts that are read.
+#: Levels of nested parts that are read by a schema.
 PARTS = 6
 #: The order in which actions run. Fixed values.
 ACTIONS = ("task", "schedule", "reply")
@@ -51,8 +52,41 @@ def header(payload: Column, name: str) -> Column:
     return F.coalesce(F.try_element_at(own, F.lit(-1)).value, F.lit(""))
 
 
+def _deep_bodies(payloads):
+    """The bodies of payloads of any depth; null for null."""
+    import base64
+    import json
+
+    import pandas as pd
+
+    def body(payload: str | None) -> str | None:
+        if payload is None:
+            return None
+        try:
+            todo, texts = [json.loads(payload)], {}
+        except (ValueError, RecursionError):
+            return ""
+        while todo:
+            part = todo.pop()
+            if not isinstance(part, dict):
+                continue
+            data = (part.get("body") or {}).get("data") if isinstance(part.get("body"), dict) else None
+            if isinstance(data, str):
+                try:
+                    text = base64.urlsafe_b64decode(data.rstrip("=") + "=" * (-len(data.rstrip("=")) % 4)).decode("utf-8", "replace")
+                except ValueError:
+                    text = ""
+                if text.strip(" "):
+                    texts.setdefault(part.get("mimeType"), text)
+            todo += reversed(part["parts"] if isinstance(part.get("parts"), list) else [])
+        return texts.get("text/plain") or texts.get("text/html") or ""
+
+    return pd.Series([body(p) for p in payloads])
+
+
 def plain_body(payload: Column) -> Column:
     """The first non-empty text/plain part in tree order, else the first text/html part; empty without either."""
+    deep = F.pandas_udf(_deep_bodies, "string")(F.when(F.regexp_count(payload, F.lit('"parts"')) > PARTS, payload))
 
     def parts_of(node: Column, left: int) -> Column:
         own = F.array(F.struct(node.mimeType.alias("kind"), url_base64(node.body.data).alias("text")))
@@ -65,7 +99,7 @@ def plain_body(payload: Column) -> Column:
     def first(kind: str) -> Column:
         return F.try_element_at(F.filter(found, lambda p: (p.kind == kind) & (F.trim(p.text) != "")), F.lit(1)).text
 
-    return F.coalesce(first("text/plain"), first("text/html"), F.lit(""))
+    return F.coalesce(deep, first("text/plain"), first("text/html"), F.lit(""))
 
 
 def index(captures: DataFrame) -> DataFrame:
@@ -84,7 +118,8 @@ def documents(captures: DataFrame) -> DataFrame:
     g = lines.groupBy("tid").agg(F.array_sort(F.collect_list("b")).alias("b"))
     top = F.element_at("b", -1)
     last = F.when(top.sent > 0, F.date_format(F.timestamp_millis(top.sent), "yyyy-MM-dd HH:mm")).otherwise("")
-    front = F.concat(F.lit("---\nthread_id: "), F.col("tid"), F.lit("\nmessage_count: "), F.size("b").cast("string"), F.lit('\nlast_internal_date: "'), last, F.lit('"\nsubject: '), F.regexp_replace(F.to_json(F.struct(top.subject.alias("s"))), r"^\{\"s\":|\}$", ""), F.lit("\n---\n\n"))
+    quoted = lambda c: F.regexp_replace(F.to_json(F.struct(c.alias("s"))), r"^\{\"s\":|\}$", "")
+    front = F.concat(F.lit("---\ngmail_thread_id: "), F.col("tid"), F.lit("\nmessage_count: "), F.size("b").cast("string"), F.lit('\nlast_internal_date: "'), last, F.lit('"\nsubject: '), quoted(top.subject), F.lit("\nfrom: "), quoted(top.sender), F.lit("\n---\n\n"))
     return g.select("tid", F.size("b").alias("message_count"), F.concat(front, F.array_join(F.col("b.block"), "\n\n---\n\n")).alias("document"))
 
 
@@ -120,3 +155,12 @@ def pending(actions: DataFrame, kept: DataFrame) -> DataFrame:
 
 def seoul_time(sent: Column) -> Column:
     return seoul(F.timestamp_millis(sent).cast("string"))
+
+
+def found_threads(items: DataFrame, most: int = 8) -> DataFrame:
+    """(label, place, tid): the threads of the first ``most`` found items (label, pos, tid) of each label, each once, in the order first seen."""
+    from pyspark.sql import Window
+
+    first = items.withColumn("_k", F.row_number().over(Window.partitionBy("label").orderBy("pos", "tid"))).where(F.col("_k") <= most)
+    once = first.where("tid IS NOT NULL").groupBy("label", "tid").agg(F.min("_k").alias("_k"))
+    return once.select("label", F.row_number().over(Window.partitionBy("label").orderBy("_k")).alias("place"), "tid")

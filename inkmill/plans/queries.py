@@ -43,21 +43,60 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 _LINK = "CASE json_type({0}) WHEN 'VARCHAR' THEN {0}->>'$' WHEN 'OBJECT' THEN coalesce({0}->>'$.\"$ref\"', {0}->>'$.cref') END"
 
 
-@query(f"""WITH raw AS (SELECT DISTINCT rec_id, json_structure AS s FROM docling WHERE json_valid(json_structure)),
+_ITEMS_OF = f"""WITH raw AS (SELECT DISTINCT rec_id, json_structure AS s FROM docling WHERE json_valid(json_structure)),
 one AS (SELECT rec_id, CASE WHEN json_type(s) = 'VARCHAR' THEN s::JSON->>'$' ELSE s END AS s FROM raw),
 doc AS (SELECT rec_id, CASE WHEN json_type(s::JSON->'$.texts') IS NULL AND json_type(s::JSON->'$.document') = 'OBJECT' THEN s::JSON->'$.document' ELSE s::JSON END AS j FROM one WHERE json_valid(s)),
 arrays AS (SELECT rec_id, a, unnest(CAST(json_extract(j, '$.' || a) AS JSON[])) AS e, generate_subscripts(CAST(json_extract(j, '$.' || a) AS JSON[]), 1) - 1 AS i FROM doc, (VALUES ('texts'), ('groups'), ('tables'), ('pictures')) v(a) WHERE json_type(json_extract(j, '$.' || a)) = 'ARRAY'),
 items AS (SELECT rec_id, a, i, '#/' || a || '/' || i AS item_ref, {_LINK.format("(e->'$.parent')")} AS up, e FROM arrays),
 named AS (SELECT rec_id, 0 AS rank, 0 AS i, '#/body' AS who, unnest(CAST(j->'$.body.children' AS JSON[])) AS c FROM doc UNION ALL
 SELECT rec_id, list_position(['texts', 'groups', 'tables', 'pictures'], a), i, item_ref, unnest(CAST(e->'$.children' AS JSON[])) FROM items WHERE json_type(e->'$.children') = 'ARRAY'),
-children AS (SELECT rec_id, target, arg_min(who, (rank, i)) AS who FROM (SELECT *, {_LINK.format("c")} AS target FROM named) GROUP BY ALL)
-SELECT i.rec_id, item_ref, coalesce(up, who, '') AS parent_ref FROM items i LEFT JOIN children c ON c.rec_id = i.rec_id AND c.target = i.item_ref""")
+children AS (SELECT rec_id, target, arg_min(who, (rank, i)) AS who FROM (SELECT *, {_LINK.format("c")} AS target FROM named) GROUP BY ALL)"""
+_PARENT = "FROM items i LEFT JOIN children c ON c.rec_id = i.rec_id AND c.target = i.item_ref"
+#: The states of the automaton for what stands in the arrays, in its order.
+_VARIANT = """CASE WHEN json_type(e) <> 'OBJECT' THEN 'other' WHEN json_type(e->'$."$ref"') = 'VARCHAR' OR json_type(e->'$.cref') = 'VARCHAR' THEN rtrim(a, 's')
+WHEN json_type(e->'$.data') = 'OBJECT' AND json_type(e->'$.data."$ref"') IS NULL THEN 'table' WHEN json_type(e->'$.text') IS NOT NULL AND json_type(e->'$.level') IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'heading'
+WHEN json_type(e->'$.text') IS NOT NULL AND json_type(e->'$.enumerated') = 'BOOLEAN' THEN 'entry' WHEN json_type(e->'$.text') IS NOT NULL THEN 'text' WHEN json_type(e->'$.captions') IS NOT NULL OR json_type(e->'$.annotations') IS NOT NULL THEN 'picture'
+WHEN json_type(e->'$.label') IS NOT NULL AND (json_type(e->'$.name') IS NOT NULL OR json_type(e->'$.children') IS NOT NULL) THEN 'group' ELSE rtrim(a, 's') END"""
+
+
+def _array(path: str) -> str:
+    return f"CASE WHEN json_type({path}) = 'ARRAY' THEN CAST({path} AS JSON[]) ELSE [] END"
+
+
+@query(_ITEMS_OF + f" SELECT i.rec_id, item_ref, coalesce(up, who, '') AS parent_ref {_PARENT}")
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.flatten(load(spark, d, "docling"), "items").select("rec_id", "item_ref", "parent_ref")
 
 
-for _table in nested.SCHEMAS:
-    QUERIES[f"p4_{_table}"] = lambda spark, d, t=_table: nested.flatten(load(spark, d, "docling"), t)
+@query(_ITEMS_OF + f" SELECT DISTINCT i.rec_id, item_ref, coalesce(up, who, '') AS parent_ref, a AS item_array, i.i::INT AS item_pos, {_VARIANT} AS variant, e->>'$.label' AS label, e->>'$.name' AS name, len({_array("e->'$.children'")})::INT AS n_children {_PARENT}")
+def p4_items(spark: SparkSession, d: str) -> DataFrame:
+    return nested.flatten(load(spark, d, "docling"), "items")
+
+
+@query(_ITEMS_OF + f" SELECT DISTINCT i.rec_id, item_ref, coalesce(up, who, '') AS parent_ref, {_VARIANT} AS variant, try_cast(e->>'$.level' AS INT) AS level, CASE json_type(e->'$.enumerated') WHEN 'BOOLEAN' THEN (e->>'$.enumerated')::BOOLEAN END AS enumerated, e->>'$.text' AS text, e->>'$.orig' AS orig {_PARENT} WHERE json_type(e->'$.text') IS NOT NULL")
+def p4_texts(spark: SparkSession, d: str) -> DataFrame:
+    return nested.flatten(load(spark, d, "docling"), "texts")
+
+
+@query(_ITEMS_OF + f""", x AS (SELECT rec_id, item_ref, unnest({_array("e->'$.data.table_cells'")}) AS c, generate_subscripts({_array("e->'$.data.table_cells'")}, 1) - 1 AS k FROM items)
+SELECT DISTINCT rec_id, item_ref, k::INT AS cell_pos, try_cast(c->>'$.start_row_offset_idx' AS INT) AS row_no, try_cast(c->>'$.start_col_offset_idx' AS INT) AS col_no, try_cast(coalesce(c->>'$.row_span', '1') AS INT) AS row_span, try_cast(coalesce(c->>'$.col_span', '1') AS INT) AS col_span,
+coalesce(c->>'$.column_header', '') = 'true' OR coalesce(c->>'$.row_header', '') = 'true' AS is_header, c->>'$.text' AS text FROM x WHERE json_type(c) = 'OBJECT'""")
+def p4_cells(spark: SparkSession, d: str) -> DataFrame:
+    return nested.flatten(load(spark, d, "docling"), "cells")
+
+
+@query(_ITEMS_OF + f""", x AS (SELECT rec_id, item_ref, unnest({_array("e->'$.prov'")}) AS p, generate_subscripts({_array("e->'$.prov'")}, 1) - 1 AS k FROM items)
+SELECT DISTINCT rec_id, item_ref, k::INT AS pos_no, try_cast(p->>'$.page_no' AS INT) AS page_no, (p->>'$.bbox.l')::DOUBLE AS l, (p->>'$.bbox.t')::DOUBLE AS t, (p->>'$.bbox.r')::DOUBLE AS r, (p->>'$.bbox.b')::DOUBLE AS b, p->>'$.bbox.coord_origin' AS coord_origin, try_cast(p->>'$.charspan[0]' AS INT) AS char_from, try_cast(p->>'$.charspan[1]' AS INT) AS char_to FROM x WHERE json_type(p) = 'OBJECT'""")
+def p4_positions(spark: SparkSession, d: str) -> DataFrame:
+    return nested.flatten(load(spark, d, "docling"), "positions")
+
+
+@query(_ITEMS_OF + f""", x AS (SELECT rec_id, unnest({_array("j->'$.pages'")}) AS p, generate_subscripts({_array("j->'$.pages'")}, 1)::VARCHAR AS k FROM doc UNION ALL
+SELECT rec_id, json_extract(pages, '$."' || k || '"'), k FROM (SELECT rec_id, j->'$.pages' AS pages, unnest(json_keys(j->'$.pages')) AS k FROM doc WHERE json_type(j->'$.pages') = 'OBJECT'))
+SELECT DISTINCT rec_id, coalesce(try_cast(p->>'$.page_no' AS INT), try_cast(k AS INT)) AS page_no, (p->>'$.size.width')::DOUBLE AS width, (p->>'$.size.height')::DOUBLE AS height FROM x""")
+def p4_pages(spark: SparkSession, d: str) -> DataFrame:
+    return nested.flatten(load(spark, d, "docling"), "pages")
+
 
 # ---- comparison of two parses ----------------------------------------------------------------------------------
 
@@ -545,7 +584,9 @@ def q_headline(spark: SparkSession, d: str) -> DataFrame:
     return n.select(report.headline(F.col("n"), F.col("ok"), F.col("fail"), F.col("warn")).alias("headline"))
 
 
-@query()
+@query(f"""WITH i AS (SELECT section, list({{'label': label, 'status': status, 'detail': n::VARCHAR}} ORDER BY label, status, n::VARCHAR) AS items FROM ({_ITEMS}) GROUP BY section),
+c AS (SELECT count(*) FILTER (status = 'ok') AS o, count(*) FILTER (status = 'warn') AS w, count(*) FILTER (status = 'fail') AS f FROM ({_ITEMS}))
+SELECT to_json({{'host': 'here', 'checkedAt': '{NOW}', 'ok': w = 0 AND f = 0, 'passed': o, 'warned': w, 'failed': f, 'sections': (SELECT list({{'key': section, 'items': items}} ORDER BY section) FROM i)}})::VARCHAR AS summary FROM c""")
 def q_summary_json(spark: SparkSession, d: str) -> DataFrame:
     return report.summary_json(_items(spark, d).withColumn("detail", F.col("n").cast("string")), "here", NOW)
 
@@ -570,7 +611,7 @@ def q_merged_actions(spark: SparkSession, d: str) -> DataFrame:
     return maps.select("tid", F.explode(gates.merged_actions(F.col("m"), new)).alias("action", "id"))
 
 
-@query()
+@query("SELECT DISTINCT source FROM parse_error WHERE source IS NOT NULL")
 def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     """Each source's first failure, through a stream that runs over all that is there."""
     import uuid
@@ -583,3 +624,6 @@ def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     stream = spark.readStream.schema(table.schema).parquet(f"{d}/parse_error.parque[t]")  # a pattern fits a file as well as a folder
     flows.drained(flows.once(stream.where("source IS NOT NULL").select("source"), ["source"]), f"{at}/state", lambda b, n: b.write.mode("append").parquet(f"{at}/out"))
     return spark.read.parquet(f"{at}/out")
+
+
+from inkmill.plans import file_queries, note_queries  # noqa: E402, F401  (they register themselves)

@@ -46,15 +46,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Tables that were written and not yet released, by application.
+_KEPT: dict[str, list[str]] = {}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage ends here, and lost executors
-    cost no recomputation of what came before."""
+    cost no recomputation of what came before.
+
+    The job runs when this is called, so operators that use it do part of their work while their plan is built. The
+    tables stay until ``release``: a result can be read again for as long as it is wanted."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/inkmill/{name}-{uuid.uuid4().hex}"
+    _KEPT.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Deletes all tables that ``written`` has left in this session, and gives their number. To be called when the results were
+    stored, in any case after work on personal data: its tables hold what was found and the texts it was found in."""
+    paths = _KEPT.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
+
+
 def bounded(df: DataFrame, most: int, what: str) -> list:
     """The rows of a small table of settings; more than ``most`` rows are an error, so that nothing
     that grows with the data is ever sent to the driver."""

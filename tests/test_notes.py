@@ -17,10 +17,10 @@ def test_entries_guides_and_lists(spark):
 
 
 def test_meetings_and_recordings(spark):
-    n = spark.createDataFrame([("v/a.md", "---\nmeet_link: https://x/abc-defg-hij\n---"), ("v/b.md", "meet_link: abc-defg-hij"), ("v/.hid/c.md", "meet_link: zzz-zzzz-zzz"), ("v/d.md", "x" * 3000 + "\nmeet_link: yyy-yyyy-yyy"), ("v/e.md", None)], "path string, text string")
-    assert [tuple(r) for r in notes.meetings(n).collect()] == [("abc-defg-hij", "b")]
-    r = spark.createDataFrame([("abc-defg-hij (2024-05-06 10:00).mp4", "note"), ("abc-defg-hij", None), ("my talk.mov", None)], "n string, t string").select(notes.recording_name(F.col("n"), F.col("t")).alias("d"))
-    assert [x["d"] for x in r.collect()] == ["note_2024-05-06.mp4", "abc-defg-hij.mp4", "my_talk.mov"]
+    n = spark.createDataFrame([("v/a.md", "---\nmeet_link: https://x/abc-defg-hij\n---"), ("v/b.md", "meet_link: abc-defg-hij"), ("v/b2.md", "meet_link: http://y/q/abc-defg-hij?x"), ("v/.hid/c.md", "meet_link: zzz-zzzz-zzz"), ("v/d.md", "x" * 3000 + "\nmeet_link: yyy-yyyy-yyy"), ("v/e.md", None)], "path string, text string")
+    assert [tuple(r) for r in notes.meetings(n).collect()] == [("abc-defg-hij", "b2")]
+    r = spark.createDataFrame([("abc-defg-hij (2024-05-06 10:00).mp4", "note"), ("abc-defg-hij 2024-05-06", None), ("abc-defg-hij talk.mov", "note"), ("my talk.mov", None)], "n string, t string").select(notes.recording_name(F.col("n"), F.col("t"), "rec").alias("d"))
+    assert [x["d"] for x in r.collect()] == ["2024-05-06_note_rec.mp4", "2024-05-06_abc-defg-hij_rec.mp4", "abc-defg-hij_talk.mov", "my_talk.mov"]
 
 
 def test_transcripts_yaml_and_tables(spark):

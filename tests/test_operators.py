@@ -19,6 +19,17 @@ def doc(**k):
     return json.dumps({"body": {"children": []}} | k)
 
 
+def test_written_tables_stay_until_they_are_released(spark):
+    from inkmill.plans import session
+
+    kept = session.written(spark.range(5).toDF("id"), "kept")
+    path = kept.inputFiles()[0].removeprefix("file:").replace("///", "/")
+    import os
+
+    assert kept.count() == 5 and os.path.exists(path)
+    assert session.release(spark) >= 1 and not os.path.exists(path) and session.release(spark) == 0
+
+
 def test_items_keep_their_links(spark):
     whole = {"body": {"children": [{"cref": "#/texts/1"}, "#/groups/0"]}, "texts": [{"parent": {"$ref": "#/groups/9"}, "text": "a"}, {"text": "b"}, {"parent": "#/texts/0", "text": "c", "level": 2}, "odd", {"text": "lost"}], "groups": [{"label": "list", "name": "g", "children": [{"$ref": "#/tables/0"}]}], "tables": [{"data": {"table_cells": [{"start_row_offset_idx": 0, "start_col_offset_idx": 1, "text": "x", "column_header": True}]}}], "pictures": None}
     rows = [(1, json.dumps(whole)), (1, json.dumps(whole)), (2, json.dumps({"status": "ok", "document": whole})), (3, json.dumps(json.dumps(whole))), (4, json.dumps(whole)[:-3]), (5, None), (6, ""), (7, "[]"), (8, doc()), (None, doc(texts=[{"text": "n"}]))]
@@ -129,7 +140,7 @@ def test_thread_documents_and_ties(spark):
     i = one(threads.index(c))
     assert (i["n"], i["last_sent"], i["newest"], i["newest_last"]) == (4, 20, "m2", "m3")
     d = one(threads.documents(c))
-    assert d["message_count"] == 4 and d["document"].index("snippet m4") < d["document"].index("<b>") < d["document"].index("hi 한") < d["document"].index("snippet m3") and 'subject: "sm3"\n---' in d["document"]
+    assert d["message_count"] == 4 and d["document"].index("snippet m4") < d["document"].index("<b>") < d["document"].index("hi 한") < d["document"].index("snippet m3") and 'subject: "sm3"\nfrom: ""\n---' in d["document"]
 
 
 def test_upserts_and_actions(spark):
@@ -215,3 +226,25 @@ def test_search_against_brute_force(spark):
         best = sorted((i for i in range(300) if i not in (q, 7)), key=lambda i: (-s[i], i))[:3]
         assert [got[q][k] for k in (1, 2, 3)] == best
     assert search.by_cosine(df.limit(0), "id", "v").count() == 0
+
+
+def test_mime_parts_of_any_depth_are_read(spark):
+    import base64
+    import json
+
+    part = {"mimeType": "text/plain", "body": {"data": base64.urlsafe_b64encode("tief".encode()).decode().rstrip("=")}}
+    for _ in range(12):
+        part = {"mimeType": "multipart/mixed", "parts": [{"mimeType": "text/html", "body": {"data": ""}}, part]}
+    df = spark.createDataFrame([(json.dumps(part),), (json.dumps({"mimeType": "text/plain", "body": {"data": "YQ"}}),), ("{", ), (None,)], "p string")
+    assert [r["b"] for r in df.select(threads.plain_body(F.col("p")).alias("b")).collect()] == ["tief", "a", "", ""]
+
+
+def test_search_counts_frequent_words_and_breaks_ties_by_id(spark):
+    from inkmill.operators import search
+
+    docs = spark.createDataFrame([(100, "the cat 한글 x"), (1, "the 한글"), (2, "the cat"), (3, "dog"), (4, None), (None, "the cat"), (200, ""), (5, "The, CAT!")], "id bigint, t string")
+    got = [tuple(r) for r in search.by_terms(docs, "id", "t", k=2).orderBy("query", "place").collect()]
+    assert got == [(100, 1, 2, 1), (100, 2, 2, 2)]
+    v = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [-1.0, 0.0])], "id bigint, v array<double>")
+    assert [tuple(r) for r in search.by_cosine(v, "id", "v", k=3).orderBy("place").collect()] == [(0, 2, 1.0, 1), (0, 1, 0.0, 2), (0, 5, -1.0, 3)]
+    assert search.by_terms(docs.limit(0), "id", "t").count() == search.by_cosine(v.limit(0), "id", "v").count() == 0

@@ -5,7 +5,7 @@ import zipfile
 import pytest
 
 from inkmill.sources import files, packages, workbooks
-from tests.books import binary_book, record, zipped
+from inkmill.sources.writers import binary_book, record, zipped
 
 
 def values(cells):
