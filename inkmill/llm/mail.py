@@ -21,7 +21,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 60
 SCHEMA = "tid string, msg_id string, sent bigint, sender string, address string, body string, marks array<int>"
 _ARROW = pa.schema([("tid", pa.string()), ("msg_id", pa.string()), ("sent", pa.int64()), ("sender", pa.string()), ("address", pa.string()), ("body", pa.string()), ("marks", pa.list_(pa.int32()))])
 
@@ -35,13 +34,15 @@ _SIGNING = re.compile(r"signature", re.I)
 _SMALLISH = re.compile(r"font-size:\s*[1-9](?:\.\d+)?p[tx]|color:\s*gr[ae]y", re.I)
 
 
-def parts(payload: object, depth: int = 0) -> Iterator[dict]:
-    """All parts of a MIME tree, in tree order."""
-    if isinstance(payload, dict) and depth < MAX_DEPTH:
-        yield payload
-        inner = payload.get("parts")
-        for p in inner if isinstance(inner, list) else ():
-            yield from parts(p, depth + 1)
+def parts(payload: object) -> Iterator[dict]:
+    """All parts of a MIME tree, in tree order, however deep it is."""
+    todo = [payload]
+    while todo:
+        part = todo.pop()
+        if isinstance(part, dict):
+            yield part
+            inner = part.get("parts")
+            todo += reversed(inner if isinstance(inner, list) else [])
 
 
 def decoded(part: dict) -> str:
@@ -124,7 +125,7 @@ def body(payload: str | None) -> tuple[str, list[int] | None, dict[str, str]] |
     """(text, marks, headers) of a payload; None if it has neither part."""
     try:
         tree = json.loads(payload or "")
-    except ValueError:
+    except (ValueError, RecursionError):
         return None
     page = None
     heads: dict[str, str] = {}
