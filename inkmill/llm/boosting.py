@@ -34,6 +34,13 @@ class Trees:
         return self.margins(x).argmax(axis=1) if len(x) else np.empty(0, np.int64)
 
 
+def probabilities(model: Trees, x: np.ndarray) -> np.ndarray:
+    """The probabilities of the classes."""
+    p = model.margins(x)
+    p = np.exp(p - p.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
+
+
 def fit(x: np.ndarray, y: np.ndarray, classes: int, rounds: int = 30, depth: int = 4, rate: float = 0.3, penalty: float = 1.0) -> Trees:
     """Trees that lower the softmax loss; each split maximises the second-order gain over quantile bins."""
     n, width = x.shape

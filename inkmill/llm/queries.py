@@ -28,11 +28,11 @@ def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return reply.classified(_bodies(spark, d)).select("tid", "msg_id", F.explode("kinds").alias("kind"))
+    return reply.classified(mail.bodies(load(spark, d, "thread"))).select("tid", "msg_id", F.explode("kinds").alias("kind"))
 
 
 def p2_new_text(spark: SparkSession, d: str) -> DataFrame:
-    return reply.classified(_bodies(spark, d)).select("tid", "msg_id", "new_text")
+    return reply.classified(mail.bodies(load(spark, d, "thread"))).select("tid", "msg_id", "new_text")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

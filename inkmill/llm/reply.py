@@ -6,10 +6,14 @@ give each block one of four classes: new, quote, signature, disclaimer. Their fe
 block stood in an earlier message of the thread (ancestor overlap), in how many messages of the sender it stands
 (sender frequency) and how many messages hold a block of the same pattern.
 
-There are no labels for blocks, so the trees are trained on marks that mail programs leave: lines with a quote
-prefix or below a reply header, elements of quotations and signatures in HTML, signature separators, device lines,
-and legal wording. Features that a mark sets are hidden from part of the training blocks, so that the trees also
-learn what such blocks look like without it.
+There are no labels for blocks, so the trees are taught by what mail programs leave in HTML messages: elements of
+quotations, of signatures and of small print, besides quote prefixes and reply headers. The elements are no features:
+of a block the trees see its quote depth, its form, its contact data and what the corpus says about it. Mail programs
+mark only part of their signatures and notices, so an unmarked block isn't a counterexample: the share of them that is
+marked is estimated on held-out messages, and a block counts as one where its probability of being marked is at least
+LEAST_SHARE of it. Of some quotations the depth is hidden from the trees, where the thread still tells what they are, so
+that they also learn what a quotation without marks looks like. Of plain-text
+messages, which have no elements, only quotations teach; their new text, signatures and notices are all held out.
 
 Defined results: a body without newly written text gives an empty string; shell transcripts whose lines begin with >
 are no quotes; messages count once by id; a message without a time has no earlier ones and is earlier than none.
@@ -23,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,11 +35,15 @@ from inkmill.llm import boosting
 from inkmill.plans.session import written
 from inkmill.plans.skew import join_counted
 
-#: Most messages whose blocks train the trees: those with the smallest hashed ids.
-TRAIN_MESSAGES = 1500
-TREE_ROUNDS = 45
-#: Share of the marks that are hidden in the second copy of the training blocks.
+#: Most messages whose blocks train the trees, those with the smallest hashed ids: HTML messages, and plain ones for their quotations.
+TRAIN_MESSAGES, TRAIN_PLAIN = 3000, 1000
+TREE_ROUNDS, TREE_DEPTH = 20, 3
+#: A block is a signature or notice from this part on of the probability that such blocks have of being marked.
+LEAST_SHARE = 0.3
+#: Share of the quotations whose depth is hidden in training.
 HIDDEN = 0.1
+#: Distinct texts of blocks whose features a task remembers.
+REMEMBERED = 50_000
 CLASSES = ("new", "quote", "signature", "disclaimer")
 NEW, QUOTE, SIGNATURE, DISCLAIMER = range(4)
 
@@ -49,12 +58,11 @@ _SEPARATOR = re.compile(r"^(?:-- ?|—|_{3,}|\* ?\* ?\*|-{3,}|={3,}|~{3,})$")
 _CLOSING = re.compile(r"^(?:cheers|regards|(?:best|kind|warm) (?:regards|wishes)|with best wishes|many thanks|yours (?:sincerely|faithfully|truly)|sincerely|best|mit freundlichen grüßen|viele grüße)[,.!]?$", re.I)
 _DEVICE = re.compile(r"^(?:sent from (?:my|a) .{2,40}|get the .{2,30} app\b.{0,30}|get outlook for .{2,20}|von meinem .{2,30} gesendet|내 .{2,14}에서 보냄|나의 .{2,14}에서 보냄|sent (?:via|with) .{2,30})$", re.I)
 _NAME = re.compile(r"^(?:[A-Z][\w'’.-]+(?: [A-Z][\w'’.-]*){1,3}|[가-힣]{2,4}(?: 드림| 올림| 배상)?)$")
-_KOREAN_SIGN = re.compile(r"^[가-힣]{2,4} (?:드림|올림|배상)$")
 _ROLE = re.compile(r"^[A-Z][\w&/ -]{2,40}, [A-Z][\w&' -]{3,60}$|^[가-힣\w ]{2,30}(?:팀|과|부|실|센터|본부|처|국)$")
 _MAIL = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
 _PHONE = re.compile(r"(?:(?:tel|phone|mobile|fax|[tmf])[.:]? ?|☎ ?)\+?[\d(][\d ()./-]{6,}", re.I)
 _CONTACT_LINE = re.compile(r"^(?:(?:tel|phone|mobile|fax|[tmf])[.:]? ?\+?[\d(]|☎|[\w.+-]+@[\w.-]+$|https?://\S+$|(?:flat|suite|unit) \d)", re.I)
-_LEGAL = re.compile(r"confidential|disclaim|unauthori[sz]ed|intended|addressee|recipient|privileg|liabilit|virus|prohibited|reserves all rights|do not bind|those of the author|before printing|registered office|company number|must not be copied|delete the message|무단|수신인|금합니다|기밀|법적 책임|삭제해 주시기|바이러스|인쇄하기 전", re.I)
+_LEGAL = re.compile(r"confidential|disclaim|unauthori[sz]ed|intended|addressee|recipient|privileg|liabilit|virus|prohibited|reserves all rights|do not bind|those of the author|before printing|registered office|company number|must not be copied|delete the message|무단|수신인|금합니다|기밀|법적 책임|삭제해 주시기|바이러스|인쇄하기 전")  # of lower-case text
 _STRONG_LEGAL = re.compile(r"^(?:this e-?mail\b.{0,60}(?:attachment|meant|intended|confidential|transmission)|(?:confidentiality notice|disclaimer|legal notice|privacy notice)\b|the (?:views|information|contents?)\b.{0,60}(?:those of the author|intended|do not)|messages? (?:is|are) scanned|please consider .{2,60} before printing|본 (?:메일|이메일|전자우편)|이 (?:메일|이메일|전자우편)[은에])", re.I | re.S)
 
 
@@ -142,69 +150,72 @@ def own_name(line: str, sender: str, address: str) -> bool:
     return any(len(w) > 3 and w in local for w in words)
 
 
-FEATURES = ("depth", "after", "header", "mark_quote", "mark_sign", "mark_small", "separator", "closing", "lines", "words", "contact", "name", "own_name", "role", "device", "legal", "strong_legal", "greeting", "from_end", "from_start", "line_length", "ancestor", "sender_count", "pattern_count", "below_sign", "closing_line", "sentence")
+FEATURES = ("depth", "header", "lines", "words", "contact", "name", "own_name", "role", "device", "legal", "strong_legal", "greeting", "from_end", "from_start", "below_sign", "closing_line", "sentence", "closing", "ancestor", "sender_count", "pattern_count")
 _AT = {f: i for i, f in enumerate(FEATURES)}
-#: Features that are marks of a mail program; hidden from part of the training blocks.
-MARKS = [_AT[f] for f in ("mark_quote", "mark_sign", "mark_small", "separator", "closing")]
+#: The first of the features that the corpus gives; the others follow from the message alone.
+_CORPUS = _AT["ancestor"]
 _GREETING = re.compile(r"^(?:hi|hello|dear|안녕하세요)\b", re.I)
 _SENTENCE = re.compile(r"[.!?…]$")
 
 
-def features(found: list[Block], sender: str, address: str, stats: dict[int, tuple[float, float, float]]) -> np.ndarray:
-    """One row for each block; stats: ancestor overlap, sender frequency and pattern frequency by block."""
+def _form(lines: list[str]) -> tuple:
+    """What a block's text alone says: its first line, the features from lines to greeting but own_name, closing line, sentence."""
+    text, n = "\n".join(lines), len(lines)
+    first = next((line for line in lines if not _CLOSING.match(line)), "")
+    short = n <= 8 and len(first) < 80
+    named = short and bool(_NAME.match(first))
+    contact = sum(bool(_CONTACT_LINE.match(line)) for line in lines) / n if short else 0.0
+    role = short and any(_ROLE.match(line) for line in lines[1:])
+    device = len(text) < 80 and bool(_DEVICE.match(text.strip()))
+    return (
+        first if short else "", min(n, 20), min(text.count(" ") + n, 200), contact, named, role, device,
+        len(_LEGAL.findall(text.lower())), bool(_STRONG_LEGAL.match(text)), bool(_GREETING.match(text)), bool(_CLOSING.match(lines[0])), bool(_SENTENCE.search(first)),
+    )
+
+
+def features(found: list[Block], sender: str, address: str, forms: dict[str, tuple] | None = None) -> np.ndarray:
+    """One row for each block, the corpus' features still 0. forms: what is remembered of texts, as quoted ones come again."""
     x = np.zeros((len(found), len(FEATURES)), np.float32)
+    forms = {} if forms is None else forms
     signed = False
     for i, b in enumerate(found):
-        n, anc_freq_pattern = len(b.lines), stats.get(i, (0.0, 0.0, 0.0))
         text = b.text
-        place = min(len(found) - 1 - i, 20), min(i, 20), len(text) / n, *anc_freq_pattern, signed
-        if b.depth or b.after or b.header:  # what a quotation says makes no difference, so it isn't searched
-            x[i, :9] = b.depth, b.after, b.header, bool(b.marks & 1), bool(b.marks & 2), bool(b.marks & 4), b.separator, b.closing, min(n, 20)
-            x[i, _AT["from_end"] : _AT["below_sign"] + 1] = place
-            continue
-        first = next((line for line in b.lines if not _CLOSING.match(line)), "")
-        short = n <= 8 and len(first) < 80
-        named = short and bool(_NAME.match(first))
-        contact = sum(bool(_CONTACT_LINE.match(line)) for line in b.lines) / n if short else 0.0
-        role = short and any(_ROLE.match(line) for line in b.lines[1:])
-        device = len(text) < 80 and bool(_DEVICE.match(text.strip()))
-        strong = bool(_STRONG_LEGAL.match(text))
-        if device or strong or (named and (role or contact)):  # what repeats by its nature needn't be a quotation
-            place = (*place[:3], 0.0, *place[4:])
-        x[i] = (0, 0, 0, bool(b.marks & 1), bool(b.marks & 2), bool(b.marks & 4), b.separator, b.closing, min(n, 20), min(text.count(" ") + n, 200), contact, 1 + bool(_KOREAN_SIGN.match(first)) if named else 0, short and own_name(first, sender, address), role, device, len(_LEGAL.findall(text)), strong, bool(_GREETING.match(text)), *place, bool(_CLOSING.match(b.lines[0])), bool(_SENTENCE.search(first)))
-        signed = signed or (b.depth == 0 and (device or (named and (role or contact > 0))))
+        if (form := forms.get(text)) is None:
+            if len(forms) >= REMEMBERED:
+                forms.clear()
+            form = forms[text] = _form(b.lines)
+        first, lines, words, contact, name, role, device, legal, strong, greeting, closing, sentence = form
+        depth = b.depth + (b.after or bool(b.marks & 1))
+        x[i, :_CORPUS] = (
+            depth, b.header, lines, words, contact, name, bool(first) and own_name(first, sender, address), role, device, legal, strong, greeting,
+            min(len(found) - 1 - i, 20), min(i, 20), signed, closing, sentence, b.closing,
+        )
+        signed = signed or (not depth and (device or bool(name and (role or contact))))
     return x
 
 
-def taught(x: np.ndarray) -> np.ndarray:
-    """Classes by the marks that mail programs and their users leave."""
-    f = lambda name: x[:, _AT[name]]
-    y = np.full(len(x), NEW, np.int64)
-    data = (f("contact") > 0) | (f("role") > 0)
-    sign = (f("device") > 0) | ((f("name") > 0) & data & (f("sentence") == 0)) | (f("mark_sign") > 0)
-    y[sign] = SIGNATURE
-    y[(f("strong_legal") > 0) | ((f("legal") >= 2) & (f("from_end") <= 3)) | ((f("mark_small") > 0) & (f("legal") > 0))] = DISCLAIMER
-    y[(f("depth") > 0) | (f("after") > 0) | (f("header") > 0) | (f("mark_quote") > 0)] = QUOTE
-    return y
+def taught(found: list[Block]) -> np.ndarray:
+    """Classes by what mail programs leave: quotations by prefix, header or element, signatures and notices by element."""
+    return np.array([QUOTE if b.depth or b.after or b.header or b.marks & 1 else SIGNATURE if b.marks & 2 else DISCLAIMER if b.marks & 4 else NEW for b in found], np.int64)
 
 
-_BLANK, _DIGITS, _CAPITAL = re.compile(r"\s+"), re.compile(r"\d+"), re.compile(r"\b[A-Z]\w+")
+_DIGITS, _CAPITAL = re.compile(r"\d+"), re.compile(r"\b[A-Z]\w+")
 
 
 def _own_key(text: str) -> int:
     """Hash of the words of a block."""
     import xxhash
 
-    return xxhash.xxh3_64_intdigest(_BLANK.sub(" ", text).strip().lower().encode())
+    return xxhash.xxh3_64_intdigest(" ".join(text.lower().split()).encode())
 
 
-def _keys(text: str) -> tuple[int, int]:
-    """Hashes of a block: of its words, and of its pattern without numbers, names and addresses."""
+def _keys(text: str, legal: bool) -> tuple[int, int]:
+    """Hashes of a block: of its words, and of its pattern without numbers, names and addresses; of a legal text its first words are the pattern."""
     import xxhash
 
-    pattern = _BLANK.sub(" ", _CAPITAL.sub("X", _DIGITS.sub("0", _MAIL.sub("@", text)))).strip()
-    pattern = pattern if not _LEGAL.search(text) else " ".join(pattern.split()[:6])
-    return _own_key(text), xxhash.xxh3_64_intdigest(pattern.encode())
+    pattern = text if "@" not in text else _MAIL.sub("@", text)
+    pattern = _CAPITAL.sub("X", _DIGITS.sub("0", pattern)).split()
+    return _own_key(text), xxhash.xxh3_64_intdigest(" ".join(pattern[:6] if legal else pattern).encode())
 
 
 def _signed(value: int) -> int:
@@ -217,89 +228,134 @@ def _scoped(scope: int, key: int) -> int:
 
 #: In the place of the number of a block that only adds to the keys.
 QUOTED = -1
+_CUT = "tid string, msg_id string, html boolean, at bigint, x array<float>, y array<tinyint>, texts array<string>, blocks array<int>, scopes array<tinyint>, keys array<bigint>"
+_CUT_ARROW = pa.schema([("tid", pa.string()), ("msg_id", pa.string()), ("html", pa.bool_()), ("at", pa.int64()), ("x", pa.list_(pa.float32())), ("y", pa.list_(pa.int8())), ("texts", pa.list_(pa.string())), ("blocks", pa.list_(pa.int32())), ("scopes", pa.list_(pa.int8())), ("keys", pa.list_(pa.int64()))])
 
 
-def corpus_stats(bodies: DataFrame) -> DataFrame:
-    """(msg_id, stats): for each block without quote prefixes its ancestor overlap, sender frequency and pattern frequency.
-
-    Quoted blocks are known as such and get no stats, nor are they words of the sender; but they count as an earlier
-    copy in the thread, so each adds to the ancestor keys by a row that isn't joined back.
+def cut(bodies: DataFrame) -> DataFrame:
+    """One row for each message, written once: the features, classes by marks and texts of its blocks, and the keys under which the
+    corpus counts them: of the words in the thread (scope 0), of the words by the sender (1), of the pattern everywhere (2).
 
-    One narrow row for each block and scope; one aggregation over all scopes, one join back."""
-    arrow = pa.schema([("msg_id", pa.string()), ("block", pa.int32()), ("scope", pa.int8()), ("key", pa.int64()), ("at", pa.int64())])
+    Quoted blocks are no words of the sender; but they count as an earlier copy in the thread."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        forms: dict[str, tuple] = {}
         for batch in batches:
             rows = []
-            for tid, msg_id, sent, address, text, marks in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+            for tid, msg_id, sent, sender, address, text, marks in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
                 thread, who = (xxhash.xxh3_64_intdigest(f"{k}\0{v}".encode("utf-8", "replace")) for k, v in (("t", tid), ("s", address)))
-                for i, b in enumerate(blocks(text, marks)):
+                found = blocks(text, marks)
+                x = features(found, sender or "", address or "", forms)
+                keyed: list[tuple[int, int, int]] = []
+                for i, b in enumerate(found):
                     if b.depth or b.after or b.header:  # a quotation by its own lines is known as one
-                        rows.append((msg_id, QUOTED, 0, _scoped(thread, _own_key(b.text)), sent))
-                        continue
-                    own, pattern = _keys(b.text)
-                    rows += ((msg_id, i, s, _scoped(k, h), sent) for s, k, h in ((0, thread, own), (1, who, own), (2, 1, pattern)))
-            columns = list(zip(*rows, strict=True)) or [[] for _ in arrow]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+                        keyed.append((QUOTED, 0, _scoped(thread, _own_key(b.text))))
+                    else:
+                        own, pattern = _keys(b.text, x[i, _AT["legal"]] > 0)
+                        keyed += ((i, s, _scoped(k, h)) for s, k, h in ((0, thread, own), (1, who, own), (2, 1, pattern)))
+                rows.append((tid, msg_id, marks is not None, sent, x.ravel(), taught(found), [b.text for b in found], *([k[n] for k in keyed] for n in range(3))))
+            columns = list(zip(*rows, strict=True)) or [[] for _ in _CUT_ARROW]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _CUT_ARROW, strict=True)], schema=_CUT_ARROW)
+
+    return written(bodies.select("tid", "msg_id", "sent", "sender", "address", "body", "marks").mapInArrow(run, _CUT), "mail-blocks")
+
 
-    keyed = written(bodies.select("tid", "msg_id", "sent", "address", "body", "marks").mapInArrow(run, "msg_id string, block int, scope tinyint, key bigint, at bigint"), "blocks")
+def corpus_stats(messages: DataFrame) -> DataFrame:
+    """(msg_id, stats): of each block that isn't quoted by its own lines whether it stood in an earlier message of the thread (0), in how many messages
+    of the sender it stands (1) and how many blocks there are of its pattern (2). One aggregation over all scopes, one join back."""
+    keyed = messages.select("msg_id", "at", F.inline(F.arrays_zip("blocks", "scopes", "keys"))).toDF("msg_id", "at", "block", "scope", "key")
     counted = written(keyed.groupBy("key").agg(F.count_if(F.col("block") != QUOTED).alias("n"), F.min("at").alias("first")).where("n > 0"), "block-keys")
     back = join_counted(keyed.where(F.col("block") != QUOTED), counted, "key", "n", ["n", "first"])
     value = F.when(F.col("scope") == 0, F.coalesce(F.col("first") < F.col("at"), F.lit(False)).cast("double")).otherwise(F.log1p(F.col("n") - 1))
-    return back.groupBy("msg_id").agg(F.collect_list(F.struct("block", "scope", value.cast("float").alias("v"))).alias("stats"))
+    return written(back.groupBy("msg_id").agg(F.collect_list(F.struct("block", "scope", value.cast("float").alias("v"))).alias("stats")), "block-stats")
 
 
-def _stats_of(entries: list[dict] | None) -> dict[int, tuple[float, float, float]]:
-    out: dict[int, list[float]] = {}
-    for e in entries or []:
-        out.setdefault(e["block"], [0.0, 0.0, 0.0])[e["scope"]] = e["v"]
-    return out  # type: ignore[return-value]
+def _wholes(x: pa.Array, stats: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(features of all blocks of a batch with those of the corpus, number of blocks of each message)."""
+    sizes = pc.list_value_length(x).to_numpy(zero_copy_only=False).astype(np.int64) // len(FEATURES)
+    out = np.array(x.flatten().to_numpy(zero_copy_only=False), np.float32).reshape(-1, len(FEATURES))
+    first = np.cumsum(sizes) - sizes
+    told = pc.fill_null(pc.list_value_length(stats), 0).to_numpy(zero_copy_only=False)
+    e = stats.flatten()
+    block, scope, value = (e.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+    out[np.repeat(first, told) + block, _CORPUS + scope] = value
+    return out, sizes
 
 
-def train(rows: list, seed: int = 3) -> boosting.Trees | None:
-    """Trees of messages with their stats; in a copy of them marks are hidden, singly, in a share of HIDDEN of the blocks."""
-    xs = [features(blocks(r["body"], r["marks"]), r["sender"] or "", r["address"] or "", _stats_of(r["stats"])) for r in rows]
-    xs = [x for x in xs if len(x)]
-    if not xs:
+@dataclass
+class Model:
+    """Trees of two halves of the messages and of all, and the shares of each class that mail programs mark."""
+
+    trees: list[boosting.Trees]
+    marked: np.ndarray
+
+    def classify(self, x: np.ndarray) -> np.ndarray:
+        if not len(x):
+            return np.empty(0, np.int64)
+        p = np.mean([boosting.probabilities(t, x) for t in self.trees], axis=0)
+        shares = p[:, SIGNATURE:] / self.marked[SIGNATURE:]
+        y = np.where(shares.max(axis=1) >= LEAST_SHARE, SIGNATURE + shares.argmax(axis=1), NEW)
+        return np.where(p[:, QUOTE] >= 0.5, QUOTE, y)
+
+
+def train(xs: list[np.ndarray], ys: list[np.ndarray], seed: int = 3) -> Model | None:
+    """A model of messages by their features and the classes that their marks give."""
+    kept = [(x, y) for x, y in zip(xs, ys, strict=True) if len(x)]
+    if not kept:
         return None
-    x = np.concatenate(xs)
-    y = taught(x)
     rng = np.random.default_rng(seed)
-    hidden = x.copy()
-    for j in MARKS:
-        hide = rng.random(len(x)) < HIDDEN
-        if j == _AT["mark_quote"]:  # hidden only where the thread still tells what it is
-            hide &= x[:, _AT["ancestor"]] > 0
-        hidden[hide, j] = 0
-    return boosting.fit(np.concatenate([x, hidden]), np.concatenate([y, y]), len(CLASSES), rounds=TREE_ROUNDS)
+
+    def fitted(own: list[tuple[np.ndarray, np.ndarray]]) -> boosting.Trees:
+        x, y = (np.concatenate([m[k] for m in own]) for k in (0, 1))
+        hide = (y == QUOTE) & (x[:, _AT["ancestor"]] > 0) & (rng.random(len(x)) < HIDDEN)
+        bare = x[hide]
+        bare[:, [_AT["depth"], _AT["header"]]] = 0
+        return boosting.fit(np.concatenate([x, bare]), np.concatenate([y, y[hide]]), len(CLASSES), rounds=TREE_ROUNDS, depth=TREE_DEPTH)
+
+    halves = [kept[::2], kept[1::2] or kept]
+    trees = [fitted(h) for h in halves]
+    marked = np.zeros((2, len(CLASSES)))
+    for k, other in enumerate((halves[1], halves[0])):
+        x, y = (np.concatenate([m[n] for m in other]) for n in (0, 1))
+        p = boosting.probabilities(trees[k], x)
+        marked[k] = [p[y == c, c].mean() if (y == c).any() else 1.0 for c in range(len(CLASSES))]
+    return Model([*trees, fitted(kept)], np.maximum(marked.mean(axis=0), 0.05))
 
 
 def classified(bodies: DataFrame) -> DataFrame:
     """(tid, msg_id, new_text, kinds): what its sender newly wrote, and the other kinds of text in the body."""
-    joined = written(bodies.join(corpus_stats(bodies), "msg_id", "left"), "messages")
-    model = train(joined.orderBy(F.xxhash64("msg_id"), "msg_id").limit(TRAIN_MESSAGES).collect())
+    messages = cut(bodies)
+    stats = corpus_stats(messages)
+    heads = messages.select("msg_id", "html")
+    first = [heads.where(kind).orderBy(F.xxhash64("msg_id"), "msg_id").limit(most) for kind, most in (("html", TRAIN_MESSAGES), ("NOT html", TRAIN_PLAIN))]
+    rows = messages.join(F.broadcast(first[0].unionByName(first[1]).select("msg_id")), "msg_id", "left_semi").join(stats, "msg_id", "left").select("msg_id", "html", "x", "y", "stats").toArrow()  # at most as many rows
+    rows = rows.sort_by("msg_id").combine_chunks()
+    xs, ys, html = [], [], rows["html"].to_pylist()
+    if len(rows):
+        whole, sizes = _wholes(rows["x"].combine_chunks(), rows["stats"].combine_chunks())
+        xs = np.split(whole, np.cumsum(sizes)[:-1])
+        ys = [np.array(y, np.int64) for y in rows["y"].to_pylist()]
+    if any(html):  # of plain text only quotations are known for what they are
+        used = [np.ones(len(y), bool) if h else y == QUOTE for h, y in zip(html, ys, strict=True)]
+        xs, ys = [x[u] for x, u in zip(xs, used, strict=True)], [y[u] for y, u in zip(ys, used, strict=True)]
+    model = train(xs, ys)
     own = bodies.sparkSession.sparkContext.broadcast(model)  # of fixed size
     schema = "tid string, msg_id string, new_text string, kinds array<string>"
     arrow = pa.schema([("tid", pa.string()), ("msg_id", pa.string()), ("new_text", pa.string()), ("kinds", pa.list_(pa.string()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, found, xs = [], [], []
-            for tid, msg_id, sender, address, text, marks, stats in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
-                cut = blocks(text, marks)
-                ids.append((tid, msg_id, text))
-                found.append(cut)
-                xs.append(features(cut, sender or "", address or "", _stats_of(stats)))
-            y = own.value.classify(np.concatenate(xs)) if xs and own.value else np.empty(0, np.int64)
+            whole, sizes = _wholes(batch.column(2), batch.column(4))
+            y = own.value.classify(whole) if own.value else np.full(len(whole), NEW)
             at, rows = 0, []
-            for (tid, msg_id, _), cut in zip(ids, found, strict=True):
-                kinds = y[at : at + len(cut)]
-                at += len(cut)
-                fresh = "\n\n".join(b.text for b, k in zip(cut, kinds, strict=True) if k == NEW and not _CLOSING.match(b.text))
+            for tid, msg_id, n, said in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sizes, batch.column(3).to_pylist(), strict=True):
+                kinds = y[at : at + n]
+                at += n
+                fresh = "\n\n".join(t for t, k in zip(said, kinds, strict=True) if k == NEW and not _CLOSING.match(t))
                 rows.append((tid, msg_id, fresh, [CLASSES[k] for k in sorted({int(k) for k in kinds} - {NEW})]))
             columns = list(zip(*rows, strict=True)) or [[] for _ in arrow]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
-    return joined.select("tid", "msg_id", "sender", "address", "body", "marks", "stats").mapInArrow(run, schema)
+    return messages.select("tid", "msg_id", "x", "texts").join(stats, "msg_id", "left").select("tid", "msg_id", "x", "texts", "stats").mapInArrow(run, schema)
