@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.plans.session import written
+from inkmill.plans.skew import join_counted, join_salted
 
 ROWS, BANDS = 4, 64
 SKETCH_BITS = 1024
@@ -130,7 +131,7 @@ def class_links(sketched: DataFrame, threshold: float) -> DataFrame:
     banded = classes.select("cls", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("m")).where("m > 1")
     # only bands that at least two classes share go on; few classes are in any of them
-    members = banded.join(shared, "band").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    members = join_counted(banded, written(shared, "shared-bands"), "band", "m", ["m"]).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
     members = members.join(classes.select("cls", "n", *(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_BITS // 64))), "cls")
     block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
     cells = members.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cls", "n", "band", *(f"s{i}" for i in range(SKETCH_BITS // 64)), F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own")
@@ -155,8 +156,15 @@ def near_pairs(df: DataFrame, id_col: str = "rec_id", text_col: str = "markdown"
     members = sketched.select("rec_id", "cls").distinct()
     links = class_links(sketched, threshold)
     x, y = members.select(F.col("rec_id").alias("p"), F.col("cls").alias("cls_a")), members.select(F.col("rec_id").alias("q"), F.col("cls").alias("cls_b"))
-    between = links.join(x, "cls_a").join(y, "cls_b").where("p != q").select(F.least("p", "q").alias("rec_a"), F.greatest("p", "q").alias("rec_b"))
-    copies = x.join(y, x.cls_a == y.cls_b).where("p < q").select(F.col("p").alias("rec_a"), F.col("q").alias("rec_b"))
+    links = written(links.select("cls_a", "cls_b"), "links")
+    # the members of a class with many copies are spread over salts, links being few
+    between = join_salted(y, join_salted(x, links, "cls_a", "p"), "cls_b", "q").where("p != q").select(F.least("p", "q").alias("rec_a"), F.greatest("p", "q").alias("rec_b"))
+    # copies meet in blocks: a class of k of them is k / BLOCK keys of the join, not one
+    sizes = written(members.groupBy("cls").agg(F.count("*").alias("n")).where("n > 1"), "class-sizes")
+    several = join_counted(members, sizes, "cls", "n", ["n"]).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    own = several.select(F.col("rec_id").alias("rec_a"), "cls", F.pmod(F.xxhash64("rec_id"), F.col("blocks")).cast("int").alias("block"))
+    other = several.select(F.col("rec_id").alias("rec_b"), "cls", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    copies = own.join(other, ["cls", "block"]).where("rec_a < rec_b").select("rec_a", "rec_b")
     return between.unionByName(copies).distinct()
 
 

@@ -183,8 +183,27 @@ def judged(found: DataFrame) -> DataFrame:
     return found.where("kind != 'name'").unionByName(named)
 
 
+_PART = re.compile(r"[^\W\d_][\w'’-]{2,}")
+
+
+def _hidden(text: str, spans: list[dict]) -> list[tuple[int, int, str]]:
+    """What is replaced in a text: the disclosed spans, and wherever else it stands each word of a name disclosed in the same text. Such a
+    word was judged to reveal a person, and with the whole name beside it, it reveals this one."""
+    own = sorted((s["start"], s["end"], s["kind"]) for s in spans)
+    words = {w for a, b, kind in own if kind == "name" for w in _PART.findall(text[a:b])}
+    lone = []
+    if words:
+        k = 0
+        for m in re.finditer(rf"(?<![\w@.-])(?:{'|'.join(map(re.escape, sorted(words, key=len, reverse=True)))})(?![\w@-])", text):
+            while k < len(own) and own[k][1] <= m.start():
+                k += 1
+            if k == len(own) or m.end() <= own[k][0]:
+                lone.append((*m.span(), "name"))
+    return sorted(own + lone)
+
+
 def redact(texts: DataFrame, disclosed: DataFrame) -> DataFrame:
-    """(origin_table, ref_id, text): each text once, with placeholders in the place of all that was disclosed."""
+    """(origin_table, ref_id, text): each text once, with placeholders in the place of all that was disclosed, and of lone words of its names."""
     spans = disclosed.groupBy("origin_table", "ref_id").agg(F.sort_array(F.collect_set(F.struct("start", "end", "kind"))).alias("spans"))
     once = texts.where("text IS NOT NULL").select("origin_table", "ref_id", "text").dropDuplicates(["origin_table", "ref_id"])
     arrow = pa.schema([("origin_table", pa.string()), ("ref_id", pa.string()), ("text", pa.string())])
@@ -194,10 +213,10 @@ def redact(texts: DataFrame, disclosed: DataFrame) -> DataFrame:
             out = []
             for text, own in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 parts, at = [], 0
-                for s in own or ():
-                    if s["start"] >= at:
-                        parts += (text[at : s["start"]], PLACEHOLDERS[s["kind"]])
-                    at = max(at, s["end"])  # names of three words are two windows that overlap
+                for start, end, kind in _hidden(text, own or []):
+                    if start >= at:
+                        parts += (text[at:start], PLACEHOLDERS[kind])
+                    at = max(at, end)  # names of three words are two windows that overlap
                 out.append("".join((*parts, text[at:])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], schema=arrow)
 

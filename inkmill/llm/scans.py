@@ -36,6 +36,8 @@ CONFUSIONS = (("0", "o"), ("1", "l"), ("1", "i"), ("5", "s"), ("6", "b"), ("8",
 DIGITS = str.maketrans("OoIlZSbB", "00112568")
 #: Confusions of letters that are tried in one word, besides its signs and digits.
 MAX_EDITS = 2
+#: Confusions of any kind in one word. That a word has more is taken to be impossible by the channel.
+MAX_USED = 6
 #: A rarer word is a misreading of a word at least so many times as frequent.
 LEAST_RATIO = 8
 #: Slack over the expected number of misreadings.
@@ -43,7 +45,7 @@ SLACK = 4.0
 FLUSH = 200_000
 
 _SIGN = re.compile(r"[^a-z]")
-_WORDLIKE = re.compile(r"(?=.*[a-z].*[a-z])[a-z0-9@!†$|€]{3,30}$")
+_WORDLIKE = re.compile(r"(?=.*[a-z].*[a-z])[a-z0-9@!†$|€]{3,}$")
 _TRIM = "\"'()[]{}.,;:?*_<>#“”‘’…~`"
 _CUT_SIGNS = "-¬‐­‑"
 _CUT_END = re.compile(rf"([^\W\d_]+)([{_CUT_SIGNS}])$")
@@ -90,9 +92,13 @@ class Part:
     before: str = ""  # the opening comment or tag, for telling captions and page breaks
 
 
+#: A running title is shorter than so many signs; a longer line is a paragraph, even if it stands twice.
+TITLE_CHARS = 160
+
+
 def furniture(parts: list[Part]) -> tuple[set[int], set[str]]:
     """Positions of the parts that are running titles or page numbers, and the kinds found."""
-    single = [i for i, p in enumerate(parts) if p.open and p.flowing and "\n" not in p.text.strip() and 0 < len(p.text.strip()) < 160]
+    single = [i for i, p in enumerate(parts) if p.open and p.flowing and "\n" not in p.text.strip() and 0 < len(p.text.strip()) < TITLE_CHARS]
     gone: set[int] = set()
     kinds: set[str] = set()
     titles: dict[str, list[int]] = {}
@@ -233,7 +239,7 @@ def readings(word: str) -> Iterator[tuple[str, tuple[int, ...]]]:
             continue
         sign = bool(_SIGN.match(word[at]))
         for k, (read, true) in enumerate(CONFUSIONS):
-            if word.startswith(read, at) and (sign or edits < MAX_EDITS - (1 if any(_SIGN.match(CONFUSIONS[u][0]) for u in used) else 0)) and len(used) < 4:
+            if word.startswith(read, at) and (sign or edits < MAX_EDITS - (1 if any(_SIGN.match(CONFUSIONS[u][0]) for u in used) else 0)) and len(used) < MAX_USED:
                 todo.append((done + true, at + len(read), (*used, k), edits + (not sign)))
         if not sign:
             todo.append((done + word[at], at + 1, used, edits))

@@ -126,3 +126,18 @@ def test_readings_explain_every_sign():
 
 def test_an_empty_table(spark):
     assert scans.repaired(spark.createDataFrame([], "rec_id bigint, markdown string, doctags string")).count() == 0
+
+
+def test_lone_words_of_a_disclosed_name_go_too():
+    text = "Ann Vandermoor wrote. Ask Ann, not Annabel; vandermoor@x.example stays, Vandermoor's desk"
+    spans = [{"start": 0, "end": 14, "kind": "name"}]
+    assert [(text[a:b], k) for a, b, k in personal._hidden(text, spans)] == [("Ann Vandermoor", "name"), ("Ann", "name"), ("Vandermoor", "name")]
+    assert personal._hidden("nothing here", []) == []
+
+
+def test_a_name_above_a_role_line_is_found(spark):
+    rows = [("thread", f"m{i}", f"Hello all.\n\nQuentin Ullmarsson\nRecords Manager, Kestrel Lab\nTel 030/23125422\n\nFrom: Penelo Zandvliet\nDate: today {i}") for i in range(30)]
+    rows += [("docling", f"d{i}", "The Water Board met in Tarnsea Harbour and Records Manager Office is shut.") for i in range(60)]
+    found = personal.judged(personal.candidates(spark.createDataFrame(rows, "origin_table string, ref_id string, text string")))
+    got = {(r["ref_id"], r["found"]) for r in found.where("kind = 'name'").collect()}
+    assert got == {(f"m{i}", n) for i in range(30) for n in ("Quentin Ullmarsson", "Penelo Zandvliet")}
