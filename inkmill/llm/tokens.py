@@ -79,9 +79,11 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     df = df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
     said = words(df, "doc_id", "text")
     joined = join_counted(said, word_table(said, path), "word", "n", ["ids"])
-    # a set, as a row given twice has each of its words twice
-    ordered = joined.groupBy("doc_id", "version").agg(F.sort_array(F.collect_set(F.struct("pos", "ids"))).alias("parts"))
-    spelt = ordered.select("doc_id", F.flatten(F.col("parts.ids")).alias("ids"))
+    # a row given several times has each of its words as often, side by side once they are sorted
+    copies = (F.count("*") / (F.max("pos") + 1)).cast("int")
+    ordered = joined.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("parts"), copies.alias("copies"))
+    once = F.when(F.col("copies") > 1, F.filter("parts", lambda x, i: i % F.col("copies") == 0)).otherwise(F.col("parts"))
+    spelt = ordered.select("doc_id", once.alias("parts")).select("doc_id", F.flatten(F.col("parts.ids")).alias("ids"))
     none = df.where("text IS NULL OR text = ''").select("doc_id").distinct().select("doc_id", F.array().cast("array<int>").alias("ids"))
     return spelt.unionByName(none)
 
