@@ -19,7 +19,9 @@ LISTED = 10
 HTML_TABLE = r"(?s)<table.*?</table>"
 PIPE_TABLE = r"(?m)^\|[^\n]*\n\|[ \t\-:|]+\|[ \t]*(?:\n\|[^\n]*)*"
 HEADING = r"(?m)^#+[ \t]+([^\n]*)"
-BREAKS = r"(?m)^(?:#+[ \t]+[^\n]*|<<TABLE>>[^\n]*)$"
+BREAKS = r"(?m)^(?:#+[ \t]+[^\n]*|\x{E000}[^\n]*)$"
+#: Stands where a table was taken out.
+PLACE = "\ue000"
 CELL = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
 
 
@@ -28,7 +30,7 @@ def with_features(records: DataFrame) -> DataFrame:
 
     Done in steps whose columns are used several times, so that each pattern runs once over a text."""
     t = records.select("rec_id", F.rtrim(even_lines(F.coalesce("markdown", F.lit("")))).alias("text"))
-    t = t.select("rec_id", F.regexp_extract_all("text", F.lit(HTML_TABLE), F.lit(0)).alias("html"), F.regexp_replace("text", HTML_TABLE, "<<TABLE>>").alias("masked"))
+    t = t.select("rec_id", F.regexp_extract_all("text", F.lit(HTML_TABLE), F.lit(0)).alias("html"), F.regexp_replace("text", HTML_TABLE, PLACE).alias("masked"))
     t = t.select("rec_id", "html", F.regexp_extract_all("masked", F.lit(PIPE_TABLE), F.lit(0)).alias("pipes"), F.regexp_replace("masked", PIPE_TABLE, "\n\n").alias("flow"))
     blocks = F.split(F.regexp_replace("flow", BREAKS, "\n\n"), r"\n[ \t]*\n")
     paragraphs = F.filter(blocks, lambda b: b.rlike(r"\S"))

@@ -106,14 +106,14 @@ WITH raw AS (
   FROM (SELECT rec_id, 'a' AS side, markdown FROM docling UNION ALL SELECT rec_id, 'b', markdown FROM mineru)),
 masked AS (
   SELECT *, regexp_extract_all(md, '(?s)<table.*?</table>') AS html,
-         regexp_replace(md, '(?s)<table.*?</table>', '<<TABLE>>', 'g') AS m FROM raw),
+         regexp_replace(md, '(?s)<table.*?</table>', chr(57344), 'g') AS m FROM raw),
 piped AS (
   SELECT *, regexp_extract_all(m, '(?m)^\|[^\n]*\n\|[ \t\-:|]+\|[ \t]*(?:\n\|[^\n]*)*') AS pipes,
          regexp_replace(m, '(?m)^\|[^\n]*\n\|[ \t\-:|]+\|[ \t]*(?:\n\|[^\n]*)*', chr(10) || chr(10), 'g') AS flow FROM masked),
 shaped AS (
   SELECT rec_id, side, len(html) + len(pipes) AS n_tables,
     list_distinct(list_transform(regexp_extract_all(flow, '(?m)^#+[ \t]+([^\n]*)', 1), lambda x: trim(x))) AS headings,
-    len(list_filter(list_transform(regexp_split_to_array(regexp_replace(flow, '(?m)^(?:#+[ \t]+[^\n]*|<<TABLE>>[^\n]*)$', chr(10) || chr(10), 'g'), '\n[ \t]*\n'),
+    len(list_filter(list_transform(regexp_split_to_array(regexp_replace(flow, '(?m)^(?:#+[ \t]+[^\n]*|\x{E000}[^\n]*)$', chr(10) || chr(10), 'g'), '\n[ \t]*\n'),
         lambda b: trim(regexp_replace(regexp_replace(b, '[ \t]*\n[ \t]*', ' ', 'g'), '^\s+|\s+$', '', 'g'))), lambda b: b <> '')) AS n_paragraphs,
     list_concat(
       flatten(list_transform(html, lambda t: regexp_extract_all(t, '(?s)<t[dh][^>]*>(.*?)</t[dh]>', 1))),
