@@ -185,3 +185,14 @@ def post_checked(outcomes: DataFrame, listing: DataFrame, scan: DataFrame) -> Da
 def note_state(parsed: Column, verified: Column, asked: Column) -> Column:
     """How far a note's attachment is: none, pending, parsed-pending-verify, or the path of what was parsed."""
     return F.when(verified, parsed).when(parsed.isNotNull(), "parsed-pending-verify").when(F.coalesce(asked, F.lit(False)), "pending").otherwise("none")
+
+
+def run_outcome(code: Column, size: Column, output: Column, limit: int) -> Column:
+    """struct(done, reason): a run is done if it ended with 0 and wrote something. Else the reason is the last line of its output that speaks of
+    an error, or its last line, or that there was none; a run ended by the time limit of ``limit`` seconds says so, as it isn't the file's fault."""
+    lines = F.filter(F.split(F.coalesce(output, F.lit("")), "\n"), lambda x: F.trim(x) != "")
+    telling = F.try_element_at(F.filter(lines, lambda x: x.rlike("(?i)error|exception|not running|denied")), F.lit(-1))
+    line = F.coalesce(telling, F.try_element_at(lines, F.lit(-1)), F.concat(F.lit("empty output ("), code.cast("string"), F.lit(")")))
+    done = F.coalesce((code == 0) & (size > 0), F.lit(False))
+    reason = F.left(F.concat(F.when(code == 124, F.lit(f"timeout {limit}s | ")).otherwise(""), line), F.lit(400))
+    return F.struct(done.alias("done"), F.when(~done, reason).alias("reason"))

@@ -112,6 +112,19 @@ def q_all_day(spark: SparkSession, d: str) -> DataFrame:
     return x.select("day", fn.all_day_end(F.when(F.col("k") == 0, F.concat("day", F.lit("x"))).otherwise(F.col("day"))).alias("ends"), "k")
 
 
+@query("""WITH r AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 124 WHEN 2 THEN 1 ELSE 0 END AS rc, CASE WHEN event_id % 8 = 3 THEN 0 ELSE event_id % 50 + 1 END AS size,
+CASE event_id % 3 WHEN 0 THEN 'start' || chr(10) || 'An ERROR in ' || event_type || chr(10) || 'end' WHEN 1 THEN 'start' || chr(10) || 'end of ' || event_type ELSE '' END AS e FROM events)
+SELECT event_id, rc = 0 AND size > 0 AS done, CASE WHEN NOT (rc = 0 AND size > 0) THEN left(CASE WHEN rc = 124 THEN 'timeout 900s | ' ELSE '' END || CASE event_id % 3 WHEN 0 THEN string_split(e, chr(10))[2] WHEN 1 THEN string_split(e, chr(10))[2] ELSE 'empty output (' || rc || ')' END, 400) END AS reason FROM r""")
+def q_run_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """What a run came to: done only with code 0 and some output, else its last telling line, with timeouts named."""
+    k = F.col("event_id")
+    code = F.when(k % 4 == 1, 124).when(k % 4 == 2, 1).otherwise(0)
+    size = F.when(k % 8 == 3, 0).otherwise(k % 50 + 1)
+    said = F.when(k % 3 == 0, F.concat(F.lit("start\nAn ERROR in "), "event_type", F.lit("\nend\n"))).when(k % 3 == 1, F.concat(F.lit("start\nend of "), "event_type")).otherwise("")
+    o = gates.run_outcome(code, size, said, 900)
+    return load(spark, d, "events").select("event_id", o.done.alias("done"), o.reason.alias("reason"))
+
+
 # ---- notes -----------------------------------------------------------------------------------------------------
 
 _CODE = "chr((97 + o_orderkey % 26)::INT) || 'bc-defg-' || chr((97 + o_orderkey % 11)::INT) || 'ij'"
@@ -221,6 +234,33 @@ def q_thread_front(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("tid", F.col("message_count").cast("bigint").alias("n"), F.regexp_extract("document", r"(?s)^(---\n.*?\n---)\n\n", 1).alias("front"))
 
 
+_MIME = _CAPTURE.replace("WITH cap", "WITH RECURSIVE cap") + """, node AS (SELECT msg_id, payload::JSON AS part, []::BIGINT[] AS path FROM msg WHERE json_valid(payload) UNION ALL
+SELECT msg_id, unnest(CASE WHEN json_type(part->'$.parts') = 'ARRAY' THEN CAST(part->'$.parts' AS JSON[]) ELSE [] END), list_append(path, unnest(range(len(CASE WHEN json_type(part->'$.parts') = 'ARRAY' THEN CAST(part->'$.parts' AS JSON[]) ELSE [] END)))) FROM node),
+raw AS (SELECT msg_id, path, part->>'$.mimeType' AS kind, rtrim(part->>'$.body.data', '=') AS d FROM node),
+bytes AS (SELECT *, TRY(from_base64(translate(d, '-_', '+/') || repeat('=', (4 - length(d) % 4) % 4))) AS b FROM raw WHERE d IS NOT NULL),
+said AS (SELECT *, TRY(decode(b)) AS t FROM bytes WHERE b IS NOT NULL),
+best AS (SELECT msg_id, arg_min({'t': t}, (CASE kind WHEN 'text/plain' THEN 0 ELSE 1 END, path)) AS best FROM said WHERE kind IN ('text/plain', 'text/html') AND (t IS NULL OR trim(t, ' ') <> '') GROUP BY msg_id)"""
+
+
+@query(_MIME + """ SELECT msg.msg_id, CASE WHEN best IS NULL THEN md5('') ELSE md5(best.t) END AS body FROM msg LEFT JOIN best ON best.msg_id = msg.msg_id""")
+def q_plain_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """The plain body of every message, however its parts are nested; null where it has bytes that are not UTF-8."""
+    body = threads.plain_body(F.col("payload"))
+    return threads.messages(_captures(spark, d)).select("msg_id", F.when(~F.contains(body, F.lit("\ufffd")), F.md5(body)).alias("body"))
+
+
+_DOCS = _MIME.replace("arg_min(m.payload, pos) AS payload", "arg_min(m.payload, pos) AS payload, arg_min({'s': m.snippet}, pos) AS snip") + f""", told AS (SELECT msg.tid, sent, pos, coalesce(best.t IS NULL AND best IS NOT NULL, false) AS bad, {_head_sql('subject')} AS subject, {_head_sql('from')} AS sender,
+'### ' || {_head_sql('date')} || chr(10) || '**From:** ' || {_head_sql('from')} || '  ' || chr(10) || '**To:** ' || {_head_sql('to')} || '  ' || chr(10) || '**Subject:** ' || {_head_sql('subject')} || chr(10) || chr(10) || trim(coalesce(nullif(best.t, ''), snip.s, ''), ' ') AS block
+FROM msg LEFT JOIN best ON best.msg_id = msg.msg_id),
+docs AS (SELECT tid, bool_or(bad) AS bad, max(sent) AS sent, count(*) AS n, arg_max({{'s': subject, 'f': sender}}, (sent, pos)) AS top, string_agg(block, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY sent, pos) AS blocks FROM told GROUP BY tid)"""
+
+
+@query(_DOCS + f""" SELECT tid, CASE WHEN NOT bad THEN md5('---' || chr(10) || 'gmail_thread_id: ' || tid || chr(10) || 'message_count: ' || n || chr(10) || 'last_internal_date: "' || CASE WHEN sent > 0 THEN strftime(make_timestamp(sent * 1000), '{_ISO}') ELSE '' END || '"' || chr(10) || 'subject: ' || to_json(top.s) || chr(10) || 'from: ' || to_json(top.f) || chr(10) || '---' || chr(10) || chr(10) || blocks) END AS document FROM docs""")
+def q_thread_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The whole document of every thread, as a hash; null where a body has bytes that are not UTF-8."""
+    return threads.documents(_captures(spark, d)).select("tid", F.when(~F.contains("document", F.lit("\ufffd")), F.md5("document")).alias("document"))
+
+
 _NAMED = r"coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce({0}, ''), '^[\s\x0b]+|[\s\x0b]+$', '', 'g'), '[\s\x0b]+', '-', 'g'), '[\\/:*?\"<>|]', '', 'g'), '^[-. ]+|[-. ]+$', '', 'g')[1:{1}], ''), 'no-subject')"
 
 
