@@ -141,3 +141,21 @@ def test_a_name_above_a_role_line_is_found(spark):
     found = personal.judged(personal.candidates(spark.createDataFrame(rows, "origin_table string, ref_id string, text string")))
     got = {(r["ref_id"], r["found"]) for r in found.where("kind = 'name'").collect()}
     assert got == {(f"m{i}", n) for i in range(30) for n in ("Quentin Ullmarsson", "Penelo Zandvliet")}
+
+
+def test_held_out_scores_give_the_threshold():
+    import numpy as np
+
+    assert abuse.threshold(np.array([3.0, 2.5, -1.0, -2.0]), np.array([1, 1, 0, 0])) == 0.75
+    assert -2 < abuse.threshold(np.array([3.0, -1.9, 2.5, -2.0, -3.0]), np.array([1, 1, 1, 0, 0])) < -1.9  # a wrong label low down is no reason to lose others
+
+
+def test_short_passages_count_and_long_documents_are_used_whole_or_not_at_all(spark, monkeypatch):
+    assert abuse.passages("You fool\n!!\n12") == ["you fool"]
+    monkeypatch.setattr(abuse, "MAX_FIT_CHARS", 60)
+    docs = spark.createDataFrame([(k, "word " * n) for k, n in ((1, 2), (2, 4), (3, 40), (4, 2))], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in (1, 2, 3, 4)], "doc_id bigint, abusive int")
+    seen = []
+    monkeypatch.setattr(abuse, "fit", lambda texts, abusive: seen.append((texts, abusive)))
+    abuse.fit_from(docs, labels)
+    assert seen == [(["word " * 2, "word " * 4, "word " * 2], [1, 0, 0])]
