@@ -550,13 +550,13 @@ def q_missing_second_parse(spark: SparkSession, d: str) -> DataFrame:
     return gates.missing(load(spark, d, "docling").select(F.col("pdf_path").alias("path")), load(spark, d, "mineru").select(F.col("pdf_path").alias("path")), "path")
 
 
-@query(r"""SELECT event_id, string_split('2024-02-28', '-')[1] AS year, (props::JSON->>'$.k')::INT AS first FROM events WHERE event_id % 4 <> 3""")
+@query(r"""SELECT event_id, strftime(ts, '%Y') AS year, (props::JSON->>'$.k')::INT AS first FROM events WHERE event_id % 4 <> 3""")
 def q_answer_lists(spark: SparkSession, d: str) -> DataFrame:
     e = load(spark, d, "events")
     keys = F.element_at(F.array(F.lit("files"), F.lit("items"), F.lit("data")), (F.col("event_id") % 4 + 1).cast("int"))
     said = F.when(F.col("event_id") % 4 == 3, F.lit('{"x": 1}')).otherwise(F.concat(F.lit('{"'), keys, F.lit('": ['), F.col("props"), F.lit("]}")))
     found = notes.first_list(said)
-    return e.select("event_id", found.alias("l")).where("l IS NOT NULL").select("event_id", F.date_format(F.to_date(F.lit("2024-02-28")), "yyyy").alias("year"), F.try_variant_get(F.col("l")[0], "$.k", "int").alias("first"))
+    return e.select("event_id", "ts", found.alias("l")).where("l IS NOT NULL").select("event_id", F.date_format("ts", "yyyy").alias("year"), F.try_variant_get(F.col("l")[0], "$.k", "int").alias("first"))
 
 
 @query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
