@@ -54,19 +54,21 @@ _ADDRESS = re.compile(r"[\w.+\-]+@[\w.\-]+|https?://\S+|\[\[[^\]\n]*\]\]")
 _LETTER = re.compile(r"[^\W\d_]")
 _SIGNS = re.compile(r"[^\w\s.,;:!?'\"*()\-]+")
 _NUMBER = re.compile(r"\d+(?:[.,:\-/]\d+)*")
-_SPACE = re.compile(r"\s+")
+_INSTEAD = re.compile(r"[\d@$!€]")
 #: Signs that stand for letters inside words. Fixed values.
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "€": "e"})
 _LEET = re.compile(r"(?<![\w@$!])(?=[\w@$!€]*[^\W\d_])(?=[\w@$€]*[\d@$!€])[^\W\d_][\w@$!€]*[^\W_](?![\w@$])|(?<![\w@$!])[@$][^\W\d_]{2,}")
 
 
 def _even(passage: str) -> str:
-    s = _ADDRESS.sub(" ", _LEAD.sub("", passage.strip()))
-    s = _LEET.sub(lambda m: m[0].translate(LOOKALIKES) if sum(c.isalpha() for c in m[0]) * 2 >= len(m[0]) else m[0], s)
+    s = _LEAD.sub("", passage.strip())
+    if "@" in s or "://" in s or "[[" in s:  # the costlier patterns are tried only where what they look for is there
+        s = _ADDRESS.sub(" ", s)
+    if _INSTEAD.search(s):
+        s = _LEET.sub(lambda m: m[0].translate(LOOKALIKES) if sum(c.isalpha() for c in m[0]) * 2 >= len(m[0]) else m[0], s)
     s = _APART.sub(lambda m: re.sub(r"[ ._\-*]", "", m[0]), s)
     s = _SIGNS.sub(" ", _NUMBER.sub("0", s))
-    s = _LONG.sub(r"\1\1", s)
-    return _SPACE.sub(" ", s).strip()
+    return " ".join(_LONG.sub(r"\1\1", s).split())
 
 
 def passages(text: str | None) -> list[str]:
